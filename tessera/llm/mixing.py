@@ -99,6 +99,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     closing = drawn.join(counts.groupBy("sid").agg(F.sum("k").alias("had")), "sid", "left").select(F.lit(math.ceil(slots / wide)).cast("long").alias("shard"), "sid", F.greatest(F.lit(0), F.col("quota") - F.coalesce("had", F.lit(0))).alias("k"))
     counts = counts.union(closing).withColumn("base", F.sum("k").over(Window.partitionBy("sid").orderBy("shard")) - F.col("k"))
     counts = counts.join(drawn.select("sid", "n", "quota"), "sid").withColumn("k", F.least("k", F.col("quota") - F.col("base"))).where("k > 0")
+    counts = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "sid")  # few rows, but each becomes many slots
     slot = counts.select("shard", "sid", "n", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("k") - 1)).alias("slot"))
     slot = slot.withColumn("pass", F.expr("slot div n"))
     slot = slot.select("shard", "sid", "pass", permuted(F.col("slot") % F.col("n"), F.col("n"), F.lit(seed), F.col("sid"), F.col("pass")).alias("block"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, mixing, secrets, vectors
+from . import html, mixing, quality, secrets, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", F.length("html").alias("html_chars"), "text")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    judged = quality.classify(docs, quality.trusted_rows(docs, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "lang", "quality.*")
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -34,7 +40,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(rows.where(F.col("vec_id") % 50 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_html_extraction, op5_embedding_near_dedup, op8_secret_scan, op9_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op8_secret_scan, op9_exact_top_k)}
 
 ORACLES = {
     "op9_exact_top_k": """
