@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, mixing, quality, secrets, vectors
+from . import html, mixing, pieces, quality, secrets, vectors
+
+#: The vocabulary that op2 and the pipeline use; any SentencePiece model file will do.
+PIECES = os.environ.get("TESSERA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +21,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives the text again."""
+    docs = pieces.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    docs = pieces.decoded(docs, PIECES, into="back")
+    return docs.select("doc_id", pieces.count("ids").alias("n_ids"), F.col("back").eqNullSafe(F.col("text")).alias("same"), "ids")
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", F.length("html").alias("html_chars"), "text")
@@ -40,7 +52,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(rows.where(F.col("vec_id") % 50 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op8_secret_scan, op9_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op8_secret_scan, op9_exact_top_k)}
 
 ORACLES = {
     "op9_exact_top_k": """
