@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, mixing, pieces, quality, secrets, vectors
+from . import html, jaccard, mixing, pieces, quality, secrets, vectors
 
 #: The vocabulary that op2 and the pipeline use; any SentencePiece model file will do.
 PIECES = os.environ.get("TESSERA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -43,6 +43,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
 
@@ -52,9 +56,23 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(rows.where(F.col("vec_id") % 50 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op8_secret_scan, op9_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op7_jaccard_join, op8_secret_scan, op9_exact_top_k)}
 
 ORACLES = {
+    "op7_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 4 THEN [array_to_string(t, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(t) - 2), lambda i: array_to_string(t[i:i + 3], ' '))) END AS g FROM w
+), u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, least.component_id FROM s JOIN least USING (doc_id)""",
     "op9_exact_top_k": """
 WITH good AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
