@@ -13,11 +13,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .words import in_chunks, mixed
 
 SPACE = "▁"
-CACHED, CACHED_LENGTH = 400_000, 48
+CACHED, CACHED_LENGTH, STEP = 200_000, 40, 1 << 19
 _caches: dict[int, dict[str, tuple[int, ...]]] = {}  # of this process, by vocabulary: kept from task to task
 UNKNOWN_PENALTY = 10.0  # below the smallest score, as SentencePiece has it
 
@@ -36,6 +40,7 @@ class Vocabulary:
     longest: int = 0
     least: float = 0.0
     heads: dict[str, int] = field(default_factory=dict)  # by first character, the longest piece
+    table: _Lookup | None = None  # made by a worker when it first needs it
 
     def __post_init__(self):
         self.longest = max(map(len, self.words), default=1)
@@ -133,45 +138,136 @@ def _path(text: str, back: dict[int, tuple[int, int]], start: int, end: int, v:
     return out[::-1]
 
 
-def _short(text: str, v: Vocabulary) -> list[int]:
-    """The same ids as viterbi(), for a text that fits in the window anyway."""
-    words, heads, n = v.words, v.heads, len(text)
-    best: list[float | None] = [0.0] + [None] * n
-    back: dict[int, tuple[int, int]] = {}
-    for i, c in enumerate(text):
-        score, known = best[i], False
-        for j in range(i + 1, min(n, i + heads.get(c, 0)) + 1):
-            if (piece := words.get(text[i:j])) is not None:
-                known |= j == i + 1
-                s = score + piece[1]
-                if best[j] is None or s > best[j]:
-                    best[j], back[j] = s, (i, piece[0])
-        if not known and (best[i + 1] is None or score + v.least - UNKNOWN_PENALTY > best[i + 1]):
-            best[i + 1], back[i + 1] = score + v.least - UNKNOWN_PENALTY, (i, -1)
-    return _path(text, back, 0, n, v)
+class _Lookup:
+    """Pieces, and all their beginnings, by a hash of their characters, in an open table for
+    many stretches at once. id: of a piece, -1 for a mere beginning, -2 for an empty place."""
+
+    STEP = np.uint64(0xD1342543DE82EF95)
+
+    def __init__(self, v: Vocabulary):
+        at, hashes = {"": 0}, [0]
+        for w in v.words:
+            for k in range(1, len(w) + 1):
+                if w[:k] not in at:
+                    at[w[:k]] = len(hashes)
+                    hashes.append((hashes[at[w[: k - 1]]] * int(self.STEP) + int(self.codes(w[k - 1])[0])) % (1 << 64))
+        if len(set(hashes)) < len(hashes):
+            raise ValueError("two pieces have the same hash")
+        size = 1 << (8 * len(hashes)).bit_length()
+        self.shift = np.uint64(65 - size.bit_length())
+        self.key, self.id, self.score = np.zeros(size + 64, "uint64"), np.full(size + 64, -2, "int32"), np.full(size + 64, -np.inf)
+        for w, n in at.items():
+            place = hashes[n] >> int(self.shift)
+            while self.id[place] != -2:
+                place += 1
+            self.key[place] = hashes[n]
+            self.id[place], self.score[place] = v.words.get(w, (-1, -np.inf))
+
+    @staticmethod
+    def codes(text: str) -> np.ndarray:
+        return mixed(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "uint32").astype("uint64") + np.uint64(1))
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Places in the table; of an empty one where a hash isn't there."""
+        at = (h >> self.shift).astype("int64")
+        open_ = np.flatnonzero((self.key[at] != h) & (self.id[at] != -2))
+        while len(open_):
+            at[open_] += 1
+            x = at[open_]
+            open_ = open_[(self.key[x] != h[open_]) & (self.id[x] != -2)]
+        return at
+
+
+def _stretches(texts: list[str], v: Vocabulary, table: _Lookup) -> dict[str, tuple[int, ...]]:
+    """The ids of many short stretches: the same search, one character further in all at a time."""
+    texts = sorted(texts, key=len, reverse=True)
+    size = np.array([len(t) for t in texts])
+    m, n = len(texts), int(size[0]) if texts else 0
+    codes = np.zeros((n, m), "uint64")
+    joined, first = table.codes("".join(texts)), np.cumsum(size) - size
+    for i in range(n):
+        k = int((size > i).sum())
+        codes[i, :k] = joined[first[:k] + i]
+    best = np.full((n + 1, m), -np.inf)
+    best[0] = 0.0
+    start, piece = np.zeros((n + 1, m), "int16"), np.full((n + 1, m), -1, "int32")
+    for i in range(n):
+        rows = np.arange(int((size > i).sum()))
+        h, known = np.zeros(len(rows), "uint64"), np.zeros(len(rows), bool)
+        for j in range(i + 1, n + 1):  # while there are pieces that begin like this
+            h = h * table.STEP + codes[j - 1, rows]
+            at = table.find(h)
+            alive = table.id[at] != -2
+            rows, h, at = rows[alive], h[alive], at[alive]
+            score = best[i, rows] + table.score[at]
+            if j == i + 1:
+                known[rows[table.id[at] >= 0]] = True
+            better = np.flatnonzero(score > best[j, rows])
+            r = rows[better]
+            best[j, r], start[j, r], piece[j, r] = score[better], i, table.id[at[better]]
+            longer = size[rows] > j
+            rows, h = rows[longer], h[longer]
+            if not len(rows):
+                break
+        r = np.flatnonzero(~known)
+        r = r[best[i, r] + v.least - UNKNOWN_PENALTY > best[i + 1, r]]
+        best[i + 1, r], start[i + 1, r], piece[i + 1, r] = best[i, r] + v.least - UNKNOWN_PENALTY, i, -1
+    out, steps = {}, []
+    end, row = size.copy(), np.arange(m)
+    while len(row):
+        steps.append((row, piece[end[row], row], end[row]))
+        end[row] = start[end[row], row]
+        row = row[end[row] > 0]
+    paths: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for rows, ids, ends in reversed(steps):
+        for r, x, e in zip(rows.tolist(), ids.tolist(), ends.tolist(), strict=True):
+            paths[r].append((x, e))
+    for text, path in zip(texts, paths, strict=True):
+        ids: list[int] = []
+        for x, e in path:
+            if x >= 0:
+                ids.append(x)
+            elif v.bytes:
+                ids += [v.bytes[b] for b in text[e - 1].encode("utf-8", "surrogatepass")]
+            elif not (ids and ids[-1] == v.unknown):
+                ids.append(v.unknown)
+        out[text] = tuple(ids)
+    return out
 
 
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-def encode(text: str, v: Vocabulary, cache: dict[str, tuple[int, ...]]) -> list[int]:
-    """Ids of a text. Where no piece spans a place before a space, all paths meet there, and
-    the stretch up to it always has the same ids; short ones are kept in `cache`."""
-    out: list[int] = []
-    for chunk in _CHUNK.findall(normalised(text, v)) if v.cuts_at_space else [normalised(text, v)]:
-        ids = cache.get(chunk)
-        if ids is None:
-            if len(chunk) > CACHED_LENGTH:
-                for part in viterbi(chunk, v):
-                    out += part
-                continue
-            if len(cache) >= CACHED:
-                cache.clear()
-            ids = cache[chunk] = tuple(_short(chunk, v))
-        out += ids
+def encode_all(texts: list[str], v: Vocabulary, cache: dict[str, tuple[int, ...]]) -> list[list[int]]:
+    """Ids of texts. Where no piece spans a place before a space, all paths meet there, and the
+    stretch up to it always has the same ids: short ones are searched together and kept in
+    `cache`, long ones are streamed. A vocabulary with other pieces has every text streamed."""
+    if not v.cuts_at_space:
+        return [[i for part in viterbi(normalised(t, v), v) for i in part] for t in texts]
+    cut = [_CHUNK.findall(normalised(t, v)) for t in texts]
+    new = {c for chunks in cut for c in chunks if c not in cache}
+    if len(cache) + len(new) > CACHED:
+        cache.clear()
+        new = {c for chunks in cut for c in chunks}
+    if new:
+        if v.table is None:
+            v.table = _Lookup(v)
+        cache.update(_stretches([c for c in new if len(c) <= CACHED_LENGTH], v, v.table))
+        for c in new:
+            if len(c) > CACHED_LENGTH:
+                cache[c] = tuple(i for part in viterbi(c, v) for i in part)
+    out = [[i for c in chunks for i in cache[c]] for chunks in cut]
+    for c in new:
+        if len(c) > CACHED_LENGTH:
+            del cache[c]
     return out
 
 
+def encode(text: str, v: Vocabulary, cache: dict[str, tuple[int, ...]]) -> list[int]:
+    """Ids of one text."""
+    return encode_all([text], v, cache)[0]
+
+
 def decode(ids: np.ndarray | list[int], v: Vocabulary) -> str:
     """The text of ids: byte pieces join to UTF-8 (bad bytes give U+FFFD), control and unknown
     pieces and ids out of range give nothing, and the added first space goes."""
@@ -181,20 +277,31 @@ def decode(ids: np.ndarray | list[int], v: Vocabulary) -> str:
     return text[1:] if v.prefix and text.startswith(" ") else text
 
 
-def encoded(docs: DataFrame, model: str, text_col: str = "text", into: str = "ids") -> DataFrame:
-    """docs with the ids of text_col in column `into` (an existing one is replaced). The model
-    file is read on the driver and its vocabulary broadcast: its size is the file's. Null gives
-    null, an empty text no ids. Rows are independent; nothing is shuffled."""
+def encoded(docs: DataFrame, model: str, text_col: str = "text", into: str = "ids", same: str | None = None) -> DataFrame:
+    """docs with the ids of text_col in column `into`, and with `same` given a column that says
+    whether decoding gives the text again (existing ones are replaced). The model file is read
+    on the driver and its vocabulary broadcast: its size is the file's. Null gives null, an
+    empty text no ids. Rows are independent; nothing is shuffled, and a task holds the ids of
+    about STEP characters at a time."""
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
+    names = [c for c in docs.columns if c not in (into, same)]
+    schema = T.StructType([docs.schema[c] for c in names]).add(into, T.ArrayType(T.IntegerType()))
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         cache = _caches.setdefault(hash((len(v.words), v.least, *list(v.words)[:1000])), {})
         for batch in batches:
-            yield pd.Series([None if t is None else np.array(encode(t, v, cache), "int32") for t in batch], dtype=object)
-
-    return docs.withColumn(into, run(text_col))
+            texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
+            for lo, hi in in_chunks(texts, STEP):
+                found = iter(encode_all([t for t in texts[lo:hi] if t is not None], v, cache))
+                ids = [None if t is None else next(found) for t in texts[lo:hi]]
+                out = [pa.array(ids, pa.list_(pa.int32()))]
+                if same:
+                    out.append(pa.array([x is not None and decode(x, v) == t for x, t in zip(ids, texts[lo:hi], strict=True)]))
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.names.index(c)) for c in names), *out], [*names, into, *([same] if same else [])])
+
+    return docs.mapInArrow(run, schema.add(same, "boolean") if same else schema)
 
 
 def decoded(docs: DataFrame, model: str, ids_col: str = "ids", into: str = "text") -> DataFrame:
