@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, jaccard, mixing, pieces, quality, secrets, vectors
+from . import html, jaccard, lines, mixing, pieces, quality, secrets, vectors
 
 #: The vocabulary that op2 and the pipeline use; any SentencePiece model file will do.
 PIECES = os.environ.get("TESSERA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -34,7 +34,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    judged = quality.classify(docs, quality.trusted_rows(docs, _table(spark, sf_dir, "labels")))
+    judged = quality.classify(docs, quality.trusted_rows(_table(spark, sf_dir, "labels")))
     return judged.select("doc_id", "lang", "quality.*")
 
 
@@ -42,6 +42,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf_dir, "documents"), report=True)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -55,7 +59,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(rows.where(F.col("vec_id") % 50 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op7_jaccard_join, op8_secret_scan, op9_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op6_line_dedup, op7_jaccard_join, op8_secret_scan, op9_exact_top_k)}
 
 ORACLES = {
     "op7_jaccard_join": r"""
