@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, jaccard, lines, mixing, pieces, quality, secrets, vectors
+from . import html, jaccard, lines, mixing, passages, pieces, quality, secrets, vectors
 
 #: The vocabulary that op2 and the pipeline use; any SentencePiece model file will do.
 PIECES = os.environ.get("TESSERA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -59,7 +59,11 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(rows.where(F.col("vec_id") % 50 == 0), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op6_line_dedup, op7_jaccard_join, op8_secret_scan, op9_exact_top_k)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_sentencepiece, op3_html_extraction, op4_quality_classifier, op5_embedding_near_dedup, op6_line_dedup, op7_jaccard_join, op8_secret_scan, op9_exact_top_k, op10_substring_dedup)}
 
 ORACLES = {
     "op7_jaccard_join": r"""
