@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from .words import in_chunks, mixed
 
 SPACE = "▁"
-CACHED, CACHED_LENGTH, STEP = 200_000, 40, 1 << 19
-_caches: dict[int, dict[str, tuple[int, ...]]] = {}  # of this process, by vocabulary: kept from task to task
+CACHED, CACHED_LENGTH, STEP = 300_000, 40, 1 << 20
+_caches: dict[int, dict[str, bytes]] = {}  # of this process, by vocabulary: kept from task to task
 UNKNOWN_PENALTY = 10.0  # below the smallest score, as SentencePiece has it
 
 
@@ -41,12 +41,14 @@ class Vocabulary:
     least: float = 0.0
     heads: dict[str, int] = field(default_factory=dict)  # by first character, the longest piece
     table: _Lookup | None = None  # made by a worker when it first needs it
+    raw: list[bytes] = field(default_factory=list)  # by id, the bytes that a piece stands for
 
     def __post_init__(self):
         self.longest = max(map(len, self.words), default=1)
         self.least = min((s for _, s in self.words.values()), default=0.0)
         # With no piece that has a space after another character, every path passes the places before spaces.
         self.cuts_at_space = not any(SPACE in w.lstrip(SPACE) for w in self.words)
+        self.raw = [t if isinstance(t, bytes) else (t or "").replace(SPACE, " ").encode("utf-8", "surrogatepass") for t in self.text]
         for w in self.words:
             self.heads[w[0]] = max(self.heads.get(w[0], 0), len(w))
 
@@ -178,8 +180,8 @@ class _Lookup:
         return at
 
 
-def _stretches(texts: list[str], v: Vocabulary, table: _Lookup) -> dict[str, tuple[int, ...]]:
-    """The ids of many short stretches: the same search, one character further in all at a time."""
+def _stretches(texts: list[str], v: Vocabulary, table: _Lookup) -> dict[str, bytes]:
+    """The packed ids of many short stretches: the same search, one character further in all at a time."""
     texts = sorted(texts, key=len, reverse=True)
     size = np.array([len(t) for t in texts])
     m, n = len(texts), int(size[0]) if texts else 0
@@ -212,68 +214,75 @@ def _stretches(texts: list[str], v: Vocabulary, table: _Lookup) -> dict[str, tup
         r = np.flatnonzero(~known)
         r = r[best[i, r] + v.least - UNKNOWN_PENALTY > best[i + 1, r]]
         best[i + 1, r], start[i + 1, r], piece[i + 1, r] = best[i, r] + v.least - UNKNOWN_PENALTY, i, -1
-    out, steps = {}, []
-    end, row = size.copy(), np.arange(m)
+    # Backpointers of all stretches at once: ids come last first, a column a step.
+    end, row, steps = size.copy(), np.arange(m), []
     while len(row):
         steps.append((row, piece[end[row], row], end[row]))
         end[row] = start[end[row], row]
         row = row[end[row] > 0]
-    paths: list[list[tuple[int, int]]] = [[] for _ in texts]
-    for rows, ids, ends in reversed(steps):
-        for r, x, e in zip(rows.tolist(), ids.tolist(), ends.tolist(), strict=True):
-            paths[r].append((x, e))
-    for text, path in zip(texts, paths, strict=True):
-        ids: list[int] = []
-        for x, e in path:
+    row, ids, at = (np.concatenate([s[k] for s in steps[::-1]]) for k in range(3)) if steps else (np.zeros(0, "int64"),) * 3
+    by_row = np.argsort(row, kind="stable")
+    row, ids, at = row[by_row], ids[by_row], at[by_row]
+    cut = np.searchsorted(row, np.arange(m + 1))
+    raw, odd = ids.astype("<i4").tobytes(), set(row[ids < 0].tolist())
+    out = {t: raw[4 * i : 4 * j] for t, i, j in zip(texts, cut[:-1].tolist(), cut[1:].tolist(), strict=True)}
+    for r in odd:
+        found: list[int] = []
+        for x, e in zip(ids[cut[r] : cut[r + 1]].tolist(), at[cut[r] : cut[r + 1]].tolist(), strict=True):
             if x >= 0:
-                ids.append(x)
+                found.append(x)
             elif v.bytes:
-                ids += [v.bytes[b] for b in text[e - 1].encode("utf-8", "surrogatepass")]
-            elif not (ids and ids[-1] == v.unknown):
-                ids.append(v.unknown)
-        out[text] = tuple(ids)
+                found += [v.bytes[b] for b in texts[r][e - 1].encode("utf-8", "surrogatepass")]
+            elif not (found and found[-1] == v.unknown):
+                found.append(v.unknown)
+        out[texts[r]] = _packed(found)
     return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-def encode_all(texts: list[str], v: Vocabulary, cache: dict[str, tuple[int, ...]]) -> list[list[int]]:
+def encode_all(texts: list[str], v: Vocabulary, cache: dict[str, bytes]) -> list[np.ndarray]:
     """Ids of texts. Where no piece spans a place before a space, all paths meet there, and the
     stretch up to it always has the same ids: short ones are searched together and kept in
     `cache`, long ones are streamed. A vocabulary with other pieces has every text streamed."""
+    marked = [normalised(t, v) for t in texts]
     if not v.cuts_at_space:
-        return [[i for part in viterbi(normalised(t, v), v) for i in part] for t in texts]
-    cut = [_CHUNK.findall(normalised(t, v)) for t in texts]
-    new = {c for chunks in cut for c in chunks if c not in cache}
+        return [np.array([i for part in viterbi(t, v) for i in part], "<i4") for t in marked]
+    # Where spaces stand alone, each stretch is a space and a word.
+    cut = [[SPACE + w for w in t[1:].split(SPACE)] if t.startswith(SPACE) and not t.endswith(SPACE) and SPACE * 2 not in t else _CHUNK.findall(t) for t in marked]
+    new = set().union(*cut) - cache.keys()
     if len(cache) + len(new) > CACHED:
         cache.clear()
-        new = {c for chunks in cut for c in chunks}
+        new = set().union(*cut)
+    long = [c for c in new if len(c) > CACHED_LENGTH]
     if new:
         if v.table is None:
             v.table = _Lookup(v)
         cache.update(_stretches([c for c in new if len(c) <= CACHED_LENGTH], v, v.table))
-        for c in new:
-            if len(c) > CACHED_LENGTH:
-                cache[c] = tuple(i for part in viterbi(c, v) for i in part)
-    out = [[i for c in chunks for i in cache[c]] for chunks in cut]
-    for c in new:
-        if len(c) > CACHED_LENGTH:
-            del cache[c]
+        cache.update((c, _packed([i for part in viterbi(c, v) for i in part])) for c in long)
+    out = [np.frombuffer(b"".join(map(cache.__getitem__, chunks)), "<i4") for chunks in cut]
+    for c in long:
+        del cache[c]
     return out
 
 
-def encode(text: str, v: Vocabulary, cache: dict[str, tuple[int, ...]]) -> list[int]:
+def encode(text: str, v: Vocabulary, cache: dict[str, bytes]) -> list[int]:
     """Ids of one text."""
-    return encode_all([text], v, cache)[0]
+    return encode_all([text], v, cache)[0].tolist()
 
 
 def decode(ids: np.ndarray | list[int], v: Vocabulary) -> str:
     """The text of ids: byte pieces join to UTF-8 (bad bytes give U+FFFD), control and unknown
     pieces and ids out of range give nothing, and the added first space goes."""
-    parts = [v.text[i] if 0 <= i < len(v.text) else None for i in ids]
-    raw = b"".join(p if isinstance(p, bytes) else (p or "").encode("utf-8", "surrogatepass") for p in parts)
-    text = raw.decode("utf-8", "replace").replace(SPACE, " ")
+    ids = np.asarray(ids, "int64")
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(v.raw)):
+        ids = ids[(ids >= 0) & (ids < len(v.raw))]
+    text = b"".join(map(v.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
     return text[1:] if v.prefix and text.startswith(" ") else text
 
 
@@ -295,7 +304,10 @@ def encoded(docs: DataFrame, model: str, text_col: str = "text", into: str = "id
             for lo, hi in in_chunks(texts, STEP):
                 found = iter(encode_all([t for t in texts[lo:hi] if t is not None], v, cache))
                 ids = [None if t is None else next(found) for t in texts[lo:hi]]
-                out = [pa.array(ids, pa.list_(pa.int32()))]
+                sizes = [0 if x is None else len(x) for x in ids]
+                values = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, "int32")])
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+                out = [pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()), mask=pa.array([x is None for x in ids]))]
                 if same:
                     out.append(pa.array([x is not None and decode(x, v) == t for x, t in zip(ids, texts[lo:hi], strict=True)]))
                 part = batch.slice(lo, hi - lo)
