@@ -33,9 +33,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    judged = quality.classify(docs, quality.trusted_rows(_table(spark, sf_dir, "labels")))
-    return judged.select("doc_id", "lang", "quality.*")
+    return quality.report(_table(spark, sf_dir, "documents"), quality.trusted_rows(_table(spark, sf_dir, "labels")))
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
