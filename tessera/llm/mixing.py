@@ -42,7 +42,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float
     """A row per source (sid, source, docs, source_size, target): shares by weight of
     share * all sizes; no target is above cap * its source's size, and what is above goes to
     the others by weight until none is. Sources that reach their cap are those with the
-    smallest cap per weight, so the level follows from running sums in that order."""
+    smallest cap per weight, so the level follows from running sums in that order: it is the
+    one of the first source that stays below its cap, and later ones give smaller values."""
     every = Window.partitionBy()
     per = sizes.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
     per = per.withColumn("sid", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
@@ -51,7 +52,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float
     before = Window.orderBy("ratio", "sid").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0.0)
     per = per.withColumn("level", (F.lit(float(share)) * F.sum("source_size").over(every) - F.coalesce(F.sum("most").over(before), zero)) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), zero)))
-    per = per.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(every))
+    per = per.withColumn("level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(every))
     return per.select("sid", "source", "docs", "source_size", F.when(F.col("level").isNull(), F.col("most")).otherwise(F.least("most", F.col("level") * F.col("weight"))).alias("target"))
 
 

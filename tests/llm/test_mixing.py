@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm.mixing import mix, mix_report, mixed_documents, permuted
+from tessera.llm.mixing import mix, mix_report, mixed_documents, permuted, targets
 
 WEIGHTS = (5, 2, 1)
 
@@ -57,6 +57,13 @@ def test_report(spark):
     assert sorted(map(str, got)) == sorted(str(r.asDict()) for r in mix_report(table(spark, ROWS).repartition(1)).collect())
 
 
+@pytest.mark.parametrize("sizes", [(646, 430, 494), (625, 237, 275, 0), (10, 1000), (5,), (0, 0), (300, 20, 7, 500, 1, 90, 4000), (1, 1, 1, 1, 1, 1, 1)])
+def test_targets_by_resharing(spark, sizes):
+    rows = [(f"s{i}", n) for i, n in enumerate(sizes)]
+    got = {r.source: r.target for r in targets(spark.createDataFrame(rows, "source string, size long"), WEIGHTS, 1.5, 2.0).collect()}
+    assert got == pytest.approx(water(dict(rows)))
+
+
 def test_pieces_are_whole_blocks_of_each_pass(spark):
     _, _, pieces = mix(table(spark, ROWS), block=8)
     seen = pieces.groupBy("sid", "pass", "block", "__row").count()
