@@ -50,8 +50,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = written(small.select("e.a", "e.b").where("a != b").distinct(), "edges")
+        small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = written(small.union(least).distinct(), "edges")
         sums = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
         if sums == seen:
             break
@@ -59,3 +59,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"no end after {max_rounds} rounds")
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
+
+
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """groups (id, component) with further links (a, b) taken in: only the links between
+    different groups go through components()."""
+    side = lambda c: groups.select(F.col("id").alias(c), F.col("component").alias(f"{c}_group"))
+    label = links.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", F.coalesce("a_group", "a").alias("x"), F.coalesce("b_group", "b").alias("y"))
+    label = written(label, "between")
+    known = written(groups.union(label.select("x", "x")).union(label.select("y", "y")).distinct(), "known")
+    joined = components(label.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    return known.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component"))

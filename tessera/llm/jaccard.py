@@ -16,11 +16,11 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, merged, written
 from .words import in_chunks, mixed, shingle_sets
 
 HOT_TOKENS = 1 << 20  # so many of the most frequent n-grams get a place at the end of the order
-HOT_LOCAL = 3  # an n-gram counts as frequent from so many texts of one task
+HOT_LOCAL = 2  # an n-gram counts as frequent from so many texts of one task
 FILTER_BITS = 1 << 26  # 8 MB: filters of this size only spare work, what passes is joined exactly
 SEGMENT = 64
 GROUP = 256  # members of a group at most, on average
@@ -216,7 +216,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, n: int, percent: int, order: Br
     parts = written(parts.union(probes), f"{name}-parts")
     sigs = parts.select("sig").distinct()
     sets = texts.select("text").mapInPandas(_wanted_sets(n, order, _filter(sigs, "sig")), "sig long, set binary")
-    sets = written(sets.groupBy("sig").agg(F.first("set").alias("set")), f"{name}-sets")  # copies of a text have the same set
+    sets = sets.groupBy("sig").agg(F.first("set").alias("set"))  # copies of a text have the same set
     return written(parts.join(sets, "sig").groupBy("probe", "part").applyInPandas(_verify(percent), "a long, b long"), f"{name}-links")
 
 
@@ -258,7 +258,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     first = posts.groupBy("token").agg(F.min(F.struct("sig", "n", "place")).alias("f")).select("token", "f.*")
     stars = posts.alias("x").join(first.alias("f"), "token").where((F.col("x.sig") != F.col("f.sig")) & _fits("x", "f", percent))
-    stars = written(stars.select(F.col("f.sig").alias("probe"), F.col("x.sig").alias("sig")).distinct(), "stars")
+    # Of the probes that a set meets, the one of most n-grams: near copies have many in common.
+    stars = stars.groupBy(F.col("x.sig").alias("sig"), F.col("f.sig").alias("probe")).agg(F.count("*").alias("both"))
+    stars = written(stars.groupBy("sig").agg(F.max(F.struct("both", "probe")).alias("m")).select("m.probe", "sig"), "stars")
     links = _similar(stars, texts, n, percent, order, "star")
     groups = components(links)
 
@@ -266,18 +268,28 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_lists = label.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
     label = written(label.join(open_lists, "token", "left_semi"), "open")
     a, b = label.alias("a"), label.alias("b")
-    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.g") != F.col("b.g")) & _fits("a", "b", percent))
-    rest = rest.select(F.col("a.sig").alias("probe"), F.col("b.sig").alias("sig")).distinct()
+    alike = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.g") != F.col("b.g")) & alike)
+    rest = rest.groupBy(F.col("a.sig").alias("probe"), F.col("b.sig").alias("sig"), F.col("a.n").alias("x"), F.col("b.n").alias("y")).agg(F.count("*").alias("both"))
+    # What the prefixes share and the rest of a set bound the overlap: the prefix that ends first has all its n-grams of the other set in the other's prefix.
+    after = lambda c: F.ceil(F.col(c) * percent / 100) - 1
+    rest = rest.where((F.col("both") + F.greatest(after("x"), after("y"))) * (100 + percent) >= percent * (F.col("x") + F.col("y"))).select("probe", "sig")
     tried = stars.select(F.least("probe", "sig").alias("probe"), F.greatest("probe", "sig").alias("sig"))
     rest = written(rest.join(tried, ["probe", "sig"], "left_anti"), "rest")
-    links = links.union(_similar(rest, texts, n, percent, order, "rest")) if rest.limit(1).count() else links
-
-    # From sets to documents: equal sets share a signature, and rows of one id are one document.
-    least = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least"))
-    edges = links.join(least.select(F.col("sig").alias("a"), F.col("least").alias("x")), "a").join(least.select(F.col("sig").alias("b"), F.col("least").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    joined = rows.where("n > 0").join(least, "sig").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    groups = components(edges.union(joined))
-    out = rows.join(groups, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    # Rows of one id are one document, so their texts' sets belong together.
+    several = rows.where("n > 0").groupBy("id").agg(F.min("sig").alias("a"), F.collect_set("sig").alias("sigs")).where(F.size("sigs") > 1)
+    more = several.select("a", F.explode("sigs").alias("b")).where("a <> b")
+    if not rest.isEmpty():
+        more = more.union(_similar(rest, texts, n, percent, order, "rest"))
+    more = written(more, "more")
+    groups = groups if more.isEmpty() else merged(groups, more)
+
+    # From sets to documents: the smallest id of a set, then of its group.
+    least = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least")).join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn("g", F.coalesce("component", "sig"))
+    least = written(least.select("sig", "g", "least"), "least")
+    group = least.groupBy("g").agg(F.min("least").alias("component_id"))
+    out = rows.join(least.join(group, "g").select("sig", "component_id"), "sig", "left")
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
     lost = docs.where(F.col(id_col).isNull()).select(F.col(text_col).alias("text")).mapInPandas(_sizes(n), "n long")
     return out.union(lost.select(F.lit(None).cast("long"), "n", F.lit(None).cast("long")))
 
