@@ -105,32 +105,48 @@ def _described(pivots: dict[int, np.ndarray], nearest: int, words: int):
     return run
 
 
-def _links_of_tile(cosine: float, shared: int):
+def _apart(candidates: Iterator[tuple[int, list]], count: int, cosine: float) -> dict[int, np.ndarray]:
+    """The pivots of each length: of the candidates (length, vector), in their order, at most
+    `count` whose cosine with every pivot before them is below `cosine`. Only pivots are held."""
+    chosen: dict[int, np.ndarray] = {}
+    held: dict[int, int] = {}
+    for dim, vector in candidates:
+        n, p = held.get(dim, 0), chosen.get(dim)
+        if n == count:
+            continue
+        x = _unit(pd.Series([np.array(vector)]))[0]
+        if n and (p[:n] @ x).max() >= cosine:
+            continue
+        if p is None or n == len(p):
+            chosen[dim] = p = np.concatenate([p, np.empty_like(p)]) if n else np.empty((1, dim))
+        p[n], held[dim] = x, n + 1
+    return {dim: p[: held[dim]] for dim, p in chosen.items()}
+
+
+def _links_of_tile(cosine: float, need: dict[int, int]):
     """Verified links within one tile of a pivot's list: for each linked vector the
     smallest vector that it reaches within the tile, and how many vectors it is linked with."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, p, i, j = key
+        dim, p, i, j = key
         rows = rows.sort_values("id", kind="stable")
-        ids, copies, block = rows["id"].to_numpy(), rows["copies"].to_numpy(), rows["block"].to_numpy()
+        ids, copies, block, home = (rows[c].to_numpy() for c in ("id", "copies", "block", "home"))
         bits, unit = np.stack(rows["bits"].to_numpy()).view("uint64"), _unit(rows["v"])
         left = np.flatnonzero(block == i)
         right = left if i == j else np.flatnonzero(block == j)
-        below = np.array([(1 << min(64, max(0, int(p) - 64 * w))) - 1 for w in range(bits.shape[1])], "uint64")
-        both, early = np.zeros((len(left), len(right)), "int16"), np.zeros((len(left), len(right)), bool)
-        for w in range(bits.shape[1]):
-            common = bits[left, w][:, None] & bits[right, w][None, :]
-            both += np.bitwise_count(common)
-            early |= (common & below[w]) != 0  # a pivot before this one is shared too: that list has the pair
-        a, b = np.nonzero((both >= shared) & ~early)
-        a, b = left[a], right[b]
+        cos = unit[left] @ unit[right].T
+        a, b = np.nonzero(cos >= cosine - 1e-12)
+        cos, a, b = cos[a, b], left[a], right[b]
         if i == j:
-            a, b = a[a < b], b[a < b]
-        cos = np.empty(len(a))
+            cos, a, b = cos[a < b], a[a < b], b[a < b]
+        below = np.array([(1 << min(64, max(0, int(p) - 64 * w))) - 1 for w in range(bits.shape[1])], "uint64")
+        linked = np.zeros(len(a), bool)
         for s in range(0, len(a), 65536):
-            cos[s : s + 65536] = np.einsum("ij,ij->i", unit[a[s : s + 65536]], unit[b[s : s + 65536]])
-        linked = cos >= cosine
-        for at in np.flatnonzero(np.abs(cos - cosine) < 1e-12):  # decided by correctly rounded sums
+            x, y = a[s : s + 65536], b[s : s + 65536]
+            common = bits[x] & bits[y]
+            enough = (np.bitwise_count(common).sum(axis=1, dtype="int64") >= need[int(dim)]) | (home[x] == home[y])
+            linked[s : s + 65536] = enough & ~(common & below).any(axis=1)  # a pivot before this one is shared too: that list has the pair
+        for at in np.flatnonzero(linked & (np.abs(cos - cosine) < 1e-12)):  # decided by correctly rounded sums
             x, y = (rows["v"].iloc[t].astype("float64") for t in (a[at], b[at]))
             linked[at] = math.fsum(x * y) >= cosine * math.sqrt(math.fsum(x * x)) * math.sqrt(math.fsum(y * y))
         a, b = a[linked], b[linked]
@@ -156,11 +172,14 @@ def _links_of_tile(cosine: float, shared: int):
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, pivots: int | None = None, nearest: int = 12, shared: int = 3, tile: int = 1500) -> DataFrame:
     """Links of vectors with a cosine of at least `cosine`, found through a pivot index.
 
-    Equal vectors form one class, which the index holds once. Pivots are the vectors with
-    the smallest hashes (256 to 4096, growing with the table, or `pivots`): a bounded
-    sample. Every class is described by its `nearest` pivots in order and stands in their
-    inverted lists; pairs that share `shared` pivots at least are verified in double
-    precision. A list is split into blocks of about `tile` classes and handled by pairs of
+    Equal vectors form one class, which the index holds once. Pivots are taken by hash (256
+    to 4096, growing with the table, or `pivots`; four times as many candidates: a bounded
+    sample), but none within twice the angle of `cosine` of another. So a group around one
+    vector has one pivot however many of the rows it holds, and all vectors within the angle
+    of a pivot are nearest to it. Every class is described by its `nearest` pivots in order
+    and stands in their inverted lists; all pairs of a list are compared in double precision
+    and linked if they have the same nearest pivot or share `shared` pivots at least (all,
+    where a length has fewer). Vectors all near each other share one list. A list is split into blocks of about `tile` classes and handled by pairs of
     blocks, so no list has to fit in one task. A tile returns a spanning forest and link
     counts, never all pairs; equal vectors are counted, not paired.
 
@@ -176,20 +195,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = written(classes, "classes")
     count = pivots or min(4096, max(256, classes.count() // 256))
     first = Window.partitionBy("dim").orderBy(F.xxhash64("id", F.lit(7)), "id")
-    chosen: dict[int, list] = {}
-    for r in classes.withColumn("r", F.row_number().over(first)).where(F.col("r") <= count).select("dim", "v").toLocalIterator():
-        chosen.setdefault(r["dim"], []).append(r["v"])  # at most `count` vectors of each length
-    table = {dim: _unit(pd.Series([np.array(x) for x in rs])) for dim, rs in chosen.items()}
+    candidates = classes.withColumn("r", F.row_number().over(first)).where(F.col("r") <= 4 * count).orderBy("dim", "r").select("dim", "v")
+    table = _apart(((r["dim"], r["v"]) for r in candidates.toLocalIterator()), count, max(-1.0, 2 * cosine * abs(cosine) - 1))
     words = math.ceil(count / 64)
     kind = classes.schema["v"].dataType.simpleString()
     schema = f"v {kind}, id long, copies long, dim int, pivots array<int>, bits array<long>"
     described = written(classes.mapInPandas(_described(table, nearest, words), schema), "described")
-    posts = described.select("*", F.explode("pivots").alias("pivot")).drop("pivots")
+    posts = described.select("*", F.col("pivots")[0].alias("home"), F.explode("pivots").alias("pivot")).drop("pivots")
     sizes = described.select("dim", F.explode("pivots").alias("pivot")).groupBy("dim", "pivot").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
     posts = posts.join(sizes, ["dim", "pivot"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     posts = posts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    tiles = posts.select("dim", "pivot", "i", "j", "block", "id", "copies", "bits", "v")
-    need = min(shared, nearest)
+    tiles = posts.select("dim", "pivot", "i", "j", "block", "id", "copies", "bits", "home", "v")
+    need = {dim: min(shared, nearest, len(p)) for dim, p in table.items()}
     found = written(tiles.groupBy("dim", "pivot", "i", "j").applyInPandas(_links_of_tile(cosine, need), "id long, root long, links long"), "links")
     groups = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

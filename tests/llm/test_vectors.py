@@ -68,6 +68,31 @@ def test_small_tiles_lose_nothing(spark):
     assert {(r.n_links, r.component_id) for r in got} == {(89, 0)}
 
 
+@pytest.mark.parametrize("pivots", [32, 256, 800])
+def test_links_of_a_hot_group_and_of_isolated_pairs(spark, pivots):
+    """A third of the rows is one group of near vectors; the others are alone or pairs."""
+    rng = np.random.default_rng(pivots)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    hot = unit(unit(rng.normal(size=48)) + 0.27 * unit(rng.normal(size=(400, 48))))
+    alone = unit(rng.normal(size=(760, 48)))
+    x = np.concatenate([hot, alone, alone[:40] + 0.4 * unit(rng.normal(size=(40, 48)))]).astype("float32")
+    x = x[rng.permutation(len(x))]
+    near = unit(x.astype("float64")) @ unit(x.astype("float64")).T >= 0.9
+    want = near.sum(1) - 1
+    got = {r.vec_id: r for r in near_vectors(table(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]), pivots=pivots).collect()}
+    found = np.array([got[i].n_links for i in range(len(x))])
+    big, small = want > 100, (want > 0) & (want <= 100)
+    assert big.sum() == 400 and small.sum() >= 70 and (found <= want).all()
+    assert found[big].sum() >= 0.999 * want[big].sum()
+    assert found[small].sum() >= 0.95 * want[small].sum()
+    assert {got[i].component_id for i in np.flatnonzero(big)} == {np.flatnonzero(big)[0]}
+
+
+def test_lengths_with_fewer_pivots_than_must_be_shared(spark):
+    got = near_vectors(table(spark, [(1, [1.0, 0.1], 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0)])).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 @pytest.mark.parametrize("rows", [[], ODD])
 def test_empty_and_odd(spark, rows):
     assert near_vectors(table(spark, rows)).count() == len(rows)
