@@ -135,24 +135,36 @@ class _Lines:
 
 def _table(node: Node, depth: int, shown: bool) -> list[str]:
     """Rows of cells, each column as wide as its widest cell of one column."""
-    rows, todo, captions = [], [node], []
+    rows, todo, captions = [], [(node, shown)], []
     while todo:
-        n = todo.pop()
-        for c in reversed(n.children):
-            if isinstance(c, Node) and c.tag in ("tr", "thead", "tbody", "tfoot") and _visible(c, shown) is not None:
-                todo.append(c)
-        if n is node:
-            captions = [" ".join(render(c, depth + 1, shown).split("\n")) for c in n.children if isinstance(c, Node) and c.tag not in ("tr", "thead", "tbody", "tfoot", "col", "colgroup")]
-            captions += [c for x in n.children if isinstance(x, str) and (c := SPACE.sub(" ", x).strip())]
-        if n.tag == "tr":
+        n, shown = todo.pop()
+        if isinstance(n, str):
+            captions += [SPACE.sub(" ", n).strip()] if shown else []
+        elif n is node or n.tag in ("thead", "tbody", "tfoot", "form"):  # a form here is only a mark: rows go on in it
+            parts, implied = [], None
+            for c in n.children:
+                if isinstance(c, Node) and c.tag in ("td", "th"):
+                    if implied is None:
+                        parts.append(implied := Node("tr", {}))
+                    implied.children.append(c)
+                elif isinstance(c, Node) or c.strip():
+                    parts.append(c)
+                    implied = None
+            for c in reversed(parts):
+                see = shown if isinstance(c, str) or c.tag == "form" else _visible(c, shown)
+                if see is not None:
+                    todo.append((c, see))
+        elif n.tag == "tr":
             cells = []
             for c in n.children:
                 if isinstance(c, Node) and (see := _visible(c, shown)) is not None:
                     span = c.attrs.get("colspan", "1")
                     cells.append((SPACE.sub(" ", render(c, depth + 1, see)).strip(), min(1000, int(span)) if span.isascii() and span.isdigit() and int(span) else 1))
-                elif isinstance(c, str) and c.strip():
+                elif isinstance(c, str) and c.strip() and shown:
                     captions.append(SPACE.sub(" ", c).strip())
             rows.append(cells)
+        else:  # stands in front of the table
+            captions.append(" ".join(render(n, depth + 1, shown).split("\n")))
     widths: Counter = Counter()
     for cells in rows:
         at = 0

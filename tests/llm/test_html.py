@@ -56,3 +56,15 @@ def test_every_visible_word_is_kept(spark):
         words = [w for part in re.split(r"<[^>]*>", body) for w in html.unescape(part).split()]
         got = re.sub(r"(?m)^ *(?:-|\d+\.) ", " ", text(r.html)).split()  # "|" stands between cells
         assert sorted("".join(words).replace("|", "")) == sorted("".join(got).replace("|", "")), r.page_id
+
+
+def test_stray_and_hidden_parts_of_tables():
+    from tessera.llm import html
+
+    shown = lambda source: html.render(html.parse(source)).split()
+    assert shown("<table><tbody><td>A</td><td>B</td></tbody></table>") == ["A", "|", "B"]
+    assert shown("<table><tbody>x <b>y</b><tr><td>A</td></tr></tbody></table>") == ["x", "y", "A"]
+    assert shown("<table><tbody><form><tr><td>A</td></tr><tr><td>B</td></tr></form></tbody></table>") == ["A", "B"]
+    assert shown("<table><script>var a</script><caption hidden>b</caption><tr><td>A</td></tr></table>") == ["A"]
+    assert shown("<table><tr style='visibility:hidden'><td>a</td><td style='visibility:visible'>B</td></tr></table>") == ["|", "B"]
+    assert shown("<table><tbody style='visibility:hidden'>x<tr><td>a</td></tr></tbody></table>") == []
