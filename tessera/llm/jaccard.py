@@ -1,17 +1,21 @@
 """N-gram Jaccard join by prefix trees, exact, with connected groups of documents.
 
-Texts become sets of hashed word n-grams. All sets are put in one global order, rare n-grams
-first; two sets that are similar enough share an n-gram in their short prefixes. Candidates
-from shared prefix n-grams meet in groups, where the sets of a group form a trie: sets that
-begin alike share the work of counting their overlap with the probe, and a branch is left as
-soon as the n-grams that remain can't reach the threshold."""
+Texts become sets of hashed word n-grams, written once. All sets are put in one global order,
+n-grams that no other text has first, then by how many texts have them; two sets that are
+similar enough share an n-gram in their short prefixes. First every list of a prefix n-gram
+links its sets to one of them. What is still apart then meets whole groups: the sets of a part of
+a group form a trie, which a set from outside walks. Sets that begin alike share the work of
+counting their overlap with it, and a branch is left as soon as the n-grams that remain can't
+reach the threshold."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +23,12 @@ from pyspark.sql import functions as F
 from .common import components, merged, written
 from .words import in_chunks, mixed, shingle_sets
 
-HOT_TOKENS = 1 << 20  # so many of the most frequent n-grams get a place at the end of the order
-HOT_LOCAL = 2  # an n-gram counts as frequent from so many texts of one task
+HOT_TOKENS = 1 << 20  # so many of the most frequent n-grams are ordered by frequency: a bound of what is broadcast
 FILTER_BITS = 1 << 26  # 8 MB: filters of this size only spare work, what passes is joined exactly
 SEGMENT = 64
-GROUP = 256  # members of a group at most, on average
+PART = 1 << 20  # n-grams of a task's sets, about
+BUCKET = 1 << 21  # n-grams that are counted together, about
+SHORT = np.uint64(20)  # bits of a hash that its count and filters leave out
 
 
 def _least(n: np.ndarray | int, percent: int):
@@ -36,54 +41,46 @@ def _signature(s: np.ndarray) -> int:
     return int((mixed(s).sum(dtype="uint64") + np.uint64(len(s))).view("int64")) if len(s) else 0
 
 
-def _sets(texts: pd.Series, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    values = texts.tolist()
-    for lo, hi in in_chunks(values):
-        yield from enumerate(shingle_sets(values[lo:hi], n), lo)
+def _sets(n: int):
+    """Per text: id, size, signature and the sorted hashes of its set, as bytes."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for lo, hi in in_chunks(texts):
+                sets = shingle_sets(texts[lo:hi], n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["id", "n", "sig", "set"],
+                )
 
-def _facts(n: int):
-    """Per text: the size and signature of its set. Besides, n-grams that are frequent in this
-    task, with counts (id null)."""
+    return run
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, kept = [], 0
 
-        def frequent() -> pd.DataFrame:
-            nonlocal seen, kept
-            token, k = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, "uint64"), np.zeros(0, "int64"))
-            seen, kept = [], 0
-            at = k >= HOT_LOCAL
-            return pd.DataFrame({"id": pd.array([pd.NA] * at.sum(), "Int64"), "n": k[at], "sig": token[at].view("int64")})
+def _dealt(bits: int):
+    """How often n-grams occur in a batch of sets, in 2**bits buckets of shortened hashes: packed hashes and counts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sigs = np.zeros(len(batch), "int64"), np.zeros(len(batch), "int64")
-            for i, s in _sets(batch["text"], n):
-                sizes[i], sigs[i] = len(s), _signature(s)
-                seen.append(s)
-                kept += len(s)
-                if kept > 4_000_000:
-                    yield frequent()
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n": sizes, "sig": sigs})
-        yield frequent()
+            every = np.frombuffer(b"".join(batch.column(0).to_pylist()), "uint64") >> SHORT
+            token, k = np.unique(every, return_counts=True)
+            bucket = (token >> np.uint64(44 - bits)).astype("int64")
+            cut = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(token) else np.zeros(0, "int64")
+            ends = np.append(cut[1:], len(token))
+            low, k = (token & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(k, 65535).astype("<u2")
+            for s in range(0, len(cut), 4096):
+                at = list(zip(cut[s : s + 4096].tolist(), ends[s : s + 4096].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[s : s + 4096]]), pa.array([int(token[x] >> np.uint64(32)) for x, _ in at], pa.int64()), pa.array([low[x:y].tobytes() for x, y in at], pa.binary()), pa.array([k[x:y].tobytes() for x, y in at], pa.binary())], ["bucket", "high", "low", "k"])
 
     return run
 
 
-class _Order:
-    """The global order: n-grams that aren't frequent by hash, then the others by class of frequency."""
-
-    def __init__(self, token: np.ndarray, count: np.ndarray):
-        at = np.argsort(token)
-        self.token, self.rank = token[at], (1 + np.log2(np.maximum(1, count[at])).astype("uint8")).astype("uint8")
-
-    def arranged(self, s: np.ndarray) -> np.ndarray:
-        """A sorted set of hashes in global order."""
-        if not len(self.token) or not len(s):
-            return s
-        at = np.minimum(np.searchsorted(self.token, s), len(self.token) - 1)
-        rank = np.where(self.token[at] == s, self.rank[at], 0).astype("uint8")
-        return s[np.argsort(rank, kind="stable")]
+def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
+    """Shortened hashes of one bucket that occur more than once, with their number."""
+    parts = [np.frombuffer(x, "<u4").astype("uint64") | np.uint64(h) << np.uint64(32) for h, x in zip(rows["high"], rows["low"], strict=True)]
+    token, at = np.unique(np.concatenate(parts), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate([np.frombuffer(x, "<u2") for x in rows["k"]])).astype("int64")
+    return pd.DataFrame({"token": token[total > 1].astype("int64"), "k": total[total > 1]})
 
 
 class _Filter:
@@ -92,15 +89,12 @@ class _Filter:
     def __init__(self, words: np.ndarray):
         self.words = words
 
-    def __contains__(self, x: int) -> bool:
-        return bool(self.has(np.array([x], "int64"))[0])
-
     def has(self, x: np.ndarray) -> np.ndarray:
         bit = mixed(x.view("uint64")) % np.uint64(FILTER_BITS)
         return (self.words[(bit >> np.uint64(6)).astype("int64")] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _filter(df: DataFrame, column: str) -> Broadcast:
+def _bits(df: DataFrame, column: str) -> _Filter:
     """A _Filter of a column of longs. Tasks send the words of their bits, which are or-ed
     together, so at most FILTER_BITS / 64 longs reach the driver."""
 
@@ -116,59 +110,97 @@ def _filter(df: DataFrame, column: str) -> Broadcast:
     words = np.zeros(FILTER_BITS // 64, "uint64")
     for batch in found.toArrow().to_batches():
         words[batch["at"].to_numpy()] = batch["word"].to_numpy().view("uint64")
-    return df.sparkSession.sparkContext.broadcast(_Filter(words))
+    return _Filter(words)
+
+
+def _filter(df: DataFrame, column: str) -> Broadcast:
+    """The filter of a column, broadcast; who asks for it destroys it."""
+    return df.sparkSession.sparkContext.broadcast(_bits(df, column))
+
+
+class _Order:
+    """The global order: n-grams that occur once, then others by hash, then the most frequent
+    ones by class of frequency."""
+
+    def __init__(self, repeated: _Filter, token: np.ndarray, count: np.ndarray):
+        at = np.argsort(token)
+        self.repeated, self.token, self.rank = repeated, token[at], (2 + np.log2(np.maximum(1, count[at]))).astype("uint8")
+
+    def ranks(self, s: np.ndarray) -> np.ndarray:
+        short = s >> SHORT
+        rank = self.repeated.has(short).astype("uint8")
+        at = np.flatnonzero(rank)
+        if len(self.token) and len(at):
+            x = short[at]
+            place = np.minimum(np.searchsorted(self.token, x), len(self.token) - 1)
+            rank[at] = np.where(self.token[place] == x, self.rank[place], 1)
+        return rank
+
+    def arranged(self, s: np.ndarray) -> np.ndarray:
+        """A sorted set of hashes in global order."""
+        return s[np.argsort(self.ranks(s), kind="stable")]
+
+
+def _ordered(sets: DataFrame) -> Broadcast:
+    """The order of all n-grams of the sets. They are counted where their hashes meet, packed;
+    the driver gets a filter and the HOT_TOKENS most frequent ones."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    bits = min(40, math.ceil(math.log2(total / BUCKET + 1)))
+    counts = sets.where("n > 0").select("set").mapInArrow(_dealt(max(12, bits)), "bucket long, high long, low binary, k binary")
+    counts = counts.withColumn("bucket", F.shiftright("bucket", max(0, 12 - bits)))
+    counts = written(counts.groupBy("bucket").applyInPandas(_repeated, "token long, k long"), "repeated")
+    hot = counts.where("k > 2").orderBy(F.desc("k"), "token").limit(HOT_TOKENS).toArrow()
+    order = _Order(_bits(counts, "token"), hot["token"].to_numpy().view("uint64"), hot["k"].to_numpy())
+    return sets.sparkSession.sparkContext.broadcast(order)
+
+
+def _prefix(s: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix of a set in global order."""
+    return s[: len(s) - _least(len(s), percent) + 1]
 
 
-def _prefixes(n: int, percent: int, order: Broadcast, only: Broadcast | None):
-    """n-grams of each set's prefix with their place in it; those outside `only` are left out."""
+def _postings(percent: int, order: Broadcast):
+    """n-grams of each set's prefix, if another text may have them, with their place in it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             token, sig, size, place = [], [], [], []
-            for _, s in _sets(batch["text"], n):
-                if len(s):
-                    p = order.value.arranged(s)[: len(s) - _least(len(s), percent) + 1]
-                    at = np.arange(len(p)) if only is None else np.flatnonzero(only.value.has(p.view("int64")))
-                    token.append(p[at].view("int64"))
-                    place.append(at)
-                    sig.append(np.full(len(at), _signature(s)))
-                    size.append(np.full(len(at), len(s)))
+            for x, raw in zip(batch["sig"].tolist(), batch["set"], strict=True):
+                s = np.frombuffer(raw, "uint64")
+                rank = order.value.ranks(s)
+                if (alone := int((rank == 0).sum())) < len(s) - _least(len(s), percent) + 1:
+                    p = _prefix(s[np.argsort(rank, kind="stable")], percent)[alone:]
+                    token.append(p.view("int64"))
+                    place.append(np.arange(alone, alone + len(p)))
+                    sig.append(np.full(len(p), x))
+                    size.append(np.full(len(p), len(s)))
             if token:
                 yield pd.DataFrame({"token": np.concatenate(token), "sig": np.concatenate(sig), "n": np.concatenate(size), "place": np.concatenate(place)})
 
     return run
 
 
-def _wanted_sets(n: int, order: Broadcast, only: Broadcast):
-    """Sets in global order, as bytes, of texts whose signature may be wanted."""
+def _wanted(order: Broadcast, only: Broadcast):
+    """Sets in global order, as big-endian bytes, of signatures that may be wanted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sigs, sets, size = [], [], 0
-            for _, s in _sets(batch["text"], n):
-                if len(s) and (x := _signature(s)) in only.value:
-                    sigs.append(x)
-                    sets.append(order.value.arranged(s).astype(">u8").tobytes())
-                    size += len(sets[-1])
-                    if size > 8 << 20:
-                        yield pd.DataFrame({"sig": sigs, "set": sets})
-                        sigs, sets, size = [], [], 0
-            if sigs:
-                yield pd.DataFrame({"sig": sigs, "set": sets})
+            batch = batch[only.value.has(batch["sig"].to_numpy())]
+            if len(batch):
+                yield pd.DataFrame({"sig": batch["sig"], "set": [order.value.arranged(np.frombuffer(x, "uint64")).astype(">u8").tobytes() for x in batch["set"]]})
 
     return run
 
 
-def overlaps(probe: np.ndarray, members: list[bytes], percent: int) -> list[int]:
+def overlaps(probe: np.ndarray, members: list[bytes], percent: int) -> Iterator[int]:
     """For sets in global order (big-endian bytes, in ascending order of these): the overlap
-    with the probe, or -1 where the threshold can't be reached.
+    with the probe (sorted), or -1 where the threshold can't be reached.
 
     Ascending byte strings are a depth-first walk of their trie: what a set shares with the
     one before it is the path that both have in common, whose partial overlaps are kept. Below
     it, the walk goes on a segment at a time and ends when the overlap so far and the rest of
     the shorter side can't reach the overlap that the sizes call for. A branch that was left on
     the common path is left for the next set too."""
-    inside, out = np.sort(probe), []
     before, counts, left = np.zeros(0, ">u8"), np.zeros(1, "int64"), 0
     for raw in members:
         s = np.frombuffer(raw, ">u8")
@@ -179,45 +211,76 @@ def overlaps(probe: np.ndarray, members: list[bytes], percent: int) -> list[int]
         total = np.zeros(len(s) + 1, "int64")
         total[: depth + 1] = counts[: depth + 1]
         at, have = depth, int(total[depth])
+        step = SEGMENT
         while at < len(s) and have + min(len(s) - at, len(probe) - have) >= need:
-            part = s[at : at + SEGMENT].astype("uint64")
-            hit = inside[np.minimum(np.searchsorted(inside, part), len(inside) - 1)] == part
+            part = s[at : at + step].astype("uint64")
+            hit = probe[np.minimum(np.searchsorted(probe, part), len(probe) - 1)] == part
             np.cumsum(hit, out=total[at + 1 : at + 1 + len(part)])
             total[at + 1 : at + 1 + len(part)] += have
             at += len(part)
             have = int(total[at])
-        out.append(have if at == len(s) and have >= need else -1)
+            step *= 2
+        yield have if at == len(s) and have >= need else -1
         before, counts, left = s, total, at
-    return out
 
 
-def _verify(percent: int):
-    """Similar pairs (probe, member) of one group: its rows are members with their sets, and
-    the probe itself."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        probe = rows[rows["sig"] == key[0]]
-        rows = rows[rows["sig"] != key[0]].drop_duplicates("sig").sort_values("set")
-        if not len(probe) or not len(rows):
-            return pd.DataFrame({"a": np.zeros(0, "int64"), "b": np.zeros(0, "int64")})
-        found = np.array(overlaps(np.frombuffer(probe["set"].iloc[0], ">u8").astype("uint64"), rows["set"].tolist(), percent))
-        b = rows["sig"].to_numpy()[found >= 0]
-        return pd.DataFrame({"a": np.full(len(b), key[0]), "b": b})
+def _walked(percent: int, one: bool):
+    """Similar pairs of the probes and the members of their groups in one task. one: a probe's
+    first link with a part of a group is enough, as the group is connected."""
+
+    def run(members: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        asked = dict(iter(probes.drop_duplicates(["g", "sig"]).groupby("g"))) if len(probes) else {}
+        for g, rows in members.groupby("g") if asked else ():
+            rows = rows.drop_duplicates("sig").sort_values("set")
+            sigs, sets = rows["sig"].to_numpy(), rows["set"].tolist()
+            size = np.array([len(x) // 8 for x in sets])
+            heads = [_prefix(np.frombuffer(x, ">u8"), percent) for x in sets]
+            token, owner = np.concatenate(heads).astype("uint64"), np.repeat(np.arange(len(sets)), [len(x) for x in heads])
+            by = np.argsort(token, kind="stable")
+            token, owner = token[by], owner[by]
+            for x, raw in zip(asked[g]["sig"], asked[g]["set"], strict=True) if g in asked else ():
+                s = np.frombuffer(raw, ">u8").astype("uint64")
+                head = _prefix(s, percent)
+                lo, hi = np.searchsorted(token, head), np.searchsorted(token, head, side="right")
+                hit = np.flatnonzero(hi > lo)
+                near = np.unique(np.concatenate([owner[lo[i] : hi[i]] for i in hit])) if len(hit) else hit
+                near = near[(100 * np.minimum(size[near], len(s)) >= percent * np.maximum(size[near], len(s))) & (sigs[near] != x)]
+                for i, have in zip(near.tolist(), overlaps(np.sort(s), [sets[i] for i in near], percent), strict=True):
+                    if have >= 0:
+                        a.append(x)
+                        b.append(sigs[i])
+                        if one:
+                            break
+        return pd.DataFrame({"a": np.array(a, "int64"), "b": np.array(b, "int64")})
 
     return run
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, n: int, percent: int, order: Broadcast, name: str) -> DataFrame:
-    """Which of the distinct pairs (probe, sig) of signatures are similar: (a, b). Groups of one
-    probe are split by a hash, and the probe's set goes to each part."""
-    sizes = pairs.groupBy("probe").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
-    parts = pairs.join(sizes, "probe").select("probe", F.pmod(F.xxhash64("sig"), "parts").cast("int").alias("part"), "sig")
-    probes = sizes.select("probe", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("probe").alias("sig"))
-    parts = written(parts.union(probes), f"{name}-parts")
-    sigs = parts.select("sig").distinct()
-    sets = texts.select("text").mapInPandas(_wanted_sets(n, order, _filter(sigs, "sig")), "sig long, set binary")
-    sets = sets.groupBy("sig").agg(F.first("set").alias("set"))  # copies of a text have the same set
-    return written(parts.join(sets, "sig").groupBy("probe", "part").applyInPandas(_verify(percent), "a long, b long"), f"{name}-links")
+def _links(members: DataFrame, probes: DataFrame, sets: DataFrame, order: Broadcast, percent: int, one: bool, name: str) -> DataFrame:
+    """Links (a, b) of probes (sig, g) with members (g, sig, n) of the group g, all of them
+    signatures. A group is dealt into parts of about PART n-grams, parts go to buckets, and a
+    bucket's probes are dealt into slices: no task holds a whole group, or all that ask for it."""
+    members, probes = written(members, f"{name}-members"), written(probes, f"{name}-probes")
+    parts = members.groupBy("g").agg(F.ceil(F.sum(F.col("n") + 64) / PART).cast("int").alias("parts"), F.sum(F.col("n") + 64).alias("n"))
+    parts = written(parts, f"{name}-sizes")
+    count = max(1, math.ceil((parts.agg(F.sum("n")).first()[0] or 0) / PART))
+    bucket = F.pmod(F.xxhash64("g", "part"), F.lit(count)).alias("bucket")
+    asked = probes.join(parts.select("g", "parts"), "g").select("g", "sig", "n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("*", bucket)
+    slices = asked.groupBy("bucket").agg(F.ceil(F.sum(F.col("n") + 64) / PART).cast("int").alias("slices"))
+    asked = asked.join(slices, "bucket").select("bucket", F.pmod(F.xxhash64("sig"), "slices").cast("int").alias("slice"), "g", "sig")
+    held = members.join(parts.select("g", "parts"), "g").select("g", "sig", F.pmod(F.xxhash64("sig"), "parts").cast("int").alias("part")).select("*", bucket)
+    held = held.join(slices, "bucket").select("bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "g", "sig")
+    wanted = _filter(members.select("sig").union(probes.select("sig")), "sig")
+    known = sets.where("n > 0").select("sig", "set").mapInPandas(_wanted(order, wanted), "sig long, set binary")
+    known = written(known.groupBy("sig").agg(F.first("set").alias("set")), f"{name}-sets")  # copies of a text have the same set
+    wanted.destroy()
+    key = ["bucket", "slice"]
+    again = known.select(F.col("sig").alias("sig"), F.col("set").alias("set"))
+    held = held.join(known, "sig").select(*key, "g", "sig", "set")
+    asked = asked.join(again, "sig").select(*[F.col(c).alias(c) for c in (*key, "g", "sig", "set")])
+    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_walked(percent, one), "a long, b long")
+    return written(found, f"{name}-links")
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -229,82 +292,75 @@ def _fits(a: str, b: str, percent: int) -> Column:
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """Connected groups of documents whose n-word shingle sets have a Jaccard similarity of at
-    least percent / 100; no link is lost.
+    least percent / 100; no link between groups is lost.
 
     Words are lower-cased in A-Z. Fewer than n words count as one shingle, no words (or null)
     give an empty set, which is linked with nothing. Texts of equal sets are one vertex,
     whatever their number. First, every list of a shared prefix n-gram links its sets to one of
-    them (as many candidates as postings). Only then sets of a list that are not yet in one
-    group are paired, so a group of many near copies never becomes all its pairs.
+    them (as many candidates as postings). Then, for every two groups that still share a prefix
+    n-gram, the sets of the smaller one that have it walk the tries of the other, so neither
+    near copies nor sets that are nearly similar become rows of all their pairs.
 
     Returns id_col, n_shingles, component_id (the smallest id of its group, itself included) for
     every row; rows of one id are one document, a null id has a null component.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # A null id would look like a frequent n-gram: such rows have no vertex.
-    found = written(texts.where("id IS NOT NULL").mapInPandas(_facts(n), "id long, n long, sig long"), "facts")
-    rows = found.where("id IS NOT NULL")
-    hot = found.where("id IS NULL").groupBy("sig").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sig").limit(HOT_TOKENS).toArrow()
-    order = spark.sparkContext.broadcast(_Order(hot["sig"].to_numpy().view("uint64"), hot["n"].to_numpy()))
-    texts = texts.where("id IS NOT NULL")
-
-    schema = "token long, sig long, n long, place long"
-    tokens = texts.select("text").mapInPandas(_prefixes(n, percent, order, None), schema)
-    tokens = tokens.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low < high").select("token")
-    tokens = written(tokens, "shared")
-    posts = texts.select("text").mapInPandas(_prefixes(n, percent, order, _filter(tokens, "token")), schema).distinct()
-    posts = written(posts.join(tokens, "token", "left_semi"), "postings")
+    sets = written(texts.mapInArrow(_sets(n), "id long, n long, sig long, set binary"), "sets")
+    rows = sets.select("id", "n", "sig")
+    sets = sets.where("id IS NOT NULL")
+    order = _ordered(sets)
+
+    posts = sets.where("n > 0").select("sig", "set").mapInPandas(_postings(percent, order), "token long, sig long, n long, place long").distinct()
+    posts = written(posts, "prefixes")
+    shared = posts.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low < high").select("token")
+    posts = written(posts.join(shared, "token", "left_semi"), "postings")
 
     first = posts.groupBy("token").agg(F.min(F.struct("sig", "n", "place")).alias("f")).select("token", "f.*")
     stars = posts.alias("x").join(first.alias("f"), "token").where((F.col("x.sig") != F.col("f.sig")) & _fits("x", "f", percent))
-    # Of the probes that a set meets, the one of most n-grams: near copies have many in common.
-    stars = stars.groupBy(F.col("x.sig").alias("sig"), F.col("f.sig").alias("probe")).agg(F.count("*").alias("both"))
-    stars = written(stars.groupBy("sig").agg(F.max(F.struct("both", "probe")).alias("m")).select("m.probe", "sig"), "stars")
-    links = _similar(stars, texts, n, percent, order, "star")
-    groups = components(links)
+    # Of the sets that a set meets so, the one of most n-grams: near copies have many in common.
+    stars = stars.groupBy(F.col("x.sig").alias("sig"), F.col("f.sig").alias("g"), F.col("x.n").alias("n"), F.col("f.n").alias("m")).agg(F.count("*").alias("both"))
+    stars = written(stars.groupBy("sig", "n").agg(F.max(F.struct("both", "g", "m")).alias("m")).select("m.g", "sig", "n", "m.m"), "stars")
+    groups = components(_links(stars.select("g", "sig", "n"), stars.select(F.col("g").alias("sig"), "g", F.col("m").alias("n")).distinct(), sets, order, percent, False, "star"))
 
     label = posts.join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn("g", F.coalesce("component", "sig")).drop("component")
-    open_lists = label.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
-    label = written(label.join(open_lists, "token", "left_semi"), "open")
-    a, b = label.alias("a"), label.alias("b")
-    alike = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.g") != F.col("b.g")) & alike)
-    rest = rest.groupBy(F.col("a.sig").alias("probe"), F.col("b.sig").alias("sig"), F.col("a.n").alias("x"), F.col("b.n").alias("y")).agg(F.count("*").alias("both"))
-    # What the prefixes share and the rest of a set bound the overlap: the prefix that ends first has all its n-grams of the other set in the other's prefix.
-    after = lambda c: F.ceil(F.col(c) * percent / 100) - 1
-    rest = rest.where((F.col("both") + F.greatest(after("x"), after("y"))) * (100 + percent) >= percent * (F.col("x") + F.col("y"))).select("probe", "sig")
-    tried = stars.select(F.least("probe", "sig").alias("probe"), F.greatest("probe", "sig").alias("sig"))
-    rest = written(rest.join(tried, ["probe", "sig"], "left_anti"), "rest")
+    apart = label.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
+    label = written(label.join(apart, "token", "left_semi"), "open")
+    size = label.select("g", "sig").distinct().groupBy("g").agg(F.count("*").alias("size"))
+    lists = label.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("rest")).join(size, "g")
+    x, y = label.join(size, "g").alias("x"), lists.alias("y")
+    can = (100 * F.col("x.n") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.n"))
+    can &= F.least(F.col("x.n") - F.col("x.place"), F.col("y.rest")) * (100 + percent) >= percent * (F.col("x.n") + F.greatest("y.least", F.ceil(F.col("x.n") * percent / 100)))
+    smaller = F.struct("x.size", "x.g") < F.struct("y.size", "y.g")
+    probes = x.join(y, (F.col("x.token") == F.col("y.token")) & smaller & can).select(F.col("x.sig").alias("sig"), F.col("y.g").alias("g"), F.col("x.n").alias("n")).distinct()
+    probes = written(probes, "between")
     # Rows of one id are one document, so their texts' sets belong together.
-    several = rows.where("n > 0").groupBy("id").agg(F.min("sig").alias("a"), F.collect_set("sig").alias("sigs")).where(F.size("sigs") > 1)
-    more = several.select("a", F.explode("sigs").alias("b")).where("a <> b")
-    if not rest.isEmpty():
-        more = more.union(_similar(rest, texts, n, percent, order, "rest"))
+    several = rows.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a < b")
+    more = rows.where("n > 0").join(several, "id").where("sig <> a").select("a", F.col("sig").alias("b"))
+    if not probes.isEmpty():
+        members = label.select("g", "sig", "n").distinct().join(probes.select("g").distinct(), "g", "left_semi")
+        more = more.union(_links(members, probes, sets, order, percent, True, "between"))
     more = written(more, "more")
+    order.destroy()
     groups = groups if more.isEmpty() else merged(groups, more)
 
     # From sets to documents: the smallest id of a set, then of its group.
-    least = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least")).join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn("g", F.coalesce("component", "sig"))
+    least = rows.where("n > 0 AND id IS NOT NULL").groupBy("sig").agg(F.min("id").alias("least")).join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn("g", F.coalesce("component", "sig"))
     least = written(least.select("sig", "g", "least"), "least")
     group = least.groupBy("g").agg(F.min("least").alias("component_id"))
     out = rows.join(least.join(group, "g").select("sig", "component_id"), "sig", "left")
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
-    lost = docs.where(F.col(id_col).isNull()).select(F.col(text_col).alias("text")).mapInPandas(_sizes(n), "n long")
-    return out.union(lost.select(F.lit(None).cast("long"), "n", F.lit(None).cast("long")))
-
-
-def _sizes(n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"n": [len(s) for _, s in _sets(batch["text"], n)]}, dtype="int64")
-
-    return run
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with one document of each group: the one with the group's smallest id. Rows that
-    share this id all stay if they are equal in no text; rows with a null id stay."""
-    groups = jaccard_groups(docs, id_col, **options)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """docs with one document of each group: the row that has the group's smallest id. Of rows
+    that share this id one stays, that of the smallest hash of its columns; rows with a null
+    id all stay."""
+    groups = jaccard_groups(docs, id_col, **options).where(F.col(id_col).isNotNull())
+    marks = groups.groupBy(id_col).agg(F.max(F.col(id_col) != F.col("component_id")).alias("__gone"), (F.count("*") > 1).alias("__many"))
+    marks = written(marks.where("__gone OR __many"), "marks")
+    out = docs.join(marks, id_col, "left_anti")
+    if marks.where("NOT __gone").isEmpty():
+        return out
+    several = docs.join(marks.where("NOT __gone").select(id_col), id_col, "left_semi")
+    one = several.groupBy(id_col).agg(F.min(F.struct(F.xxhash64(*several.columns).alias("__hash"), *several.columns)).alias("__row"))
+    return out.union(one.select(*[F.col(f"__row.{c}") for c in docs.columns]))

@@ -58,12 +58,14 @@ def test_against_brute_force(spark, n, percent, rows):
 
 
 def test_one_of_each_group_nulls_and_clashing_columns(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "GROUP", 2)
+    monkeypatch.setattr(jaccard, "PART", 100)
     text = " ".join(f"v{i}" for i in range(50))
     rows = [(i, f"{text} x{i}", i, "s") for i in range(1, 12)] + [(None, text, 1, "s"), (40, None, 1, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, id int, sig string")
+    rows += [rows[0], (1, "another text of the same id", 9, "t"), (60, "once more", 9, "t"), (60, "once more", 9, "t")]
+    df = spark.createDataFrame(rows, df.schema)
     out = one_of_each_group(df)
-    assert out.columns == df.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 40]
+    assert out.columns == df.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 40, 60]
     assert jaccard_groups(df.limit(0)).count() == 0
 
 
