@@ -11,11 +11,12 @@ reach the threshold."""
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ from .words import in_chunks, mixed, shingle_sets
 HOT_TOKENS = 1 << 20  # so many of the most frequent n-grams are ordered by frequency: a bound of what is broadcast
 FILTER_BITS = 1 << 26  # 8 MB: filters of this size only spare work, what passes is joined exactly
 SEGMENT = 64
-PART = 1 << 20  # n-grams of a task's sets, about
-BUCKET = 1 << 21  # n-grams that are counted together, about
+PART = 1 << 18  # n-grams of a task's sets, about
+BUCKET = 1 << 20  # n-grams that are counted together, about
 SHORT = np.uint64(20)  # bits of a hash that its count and filters leave out
 
 
@@ -58,19 +59,20 @@ def _sets(n: int):
 
 
 def _dealt(bits: int):
-    """How often n-grams occur in a batch of sets, in 2**bits buckets of shortened hashes: packed hashes and counts."""
+    """How often n-grams occur in some sets, in 2**bits buckets of shortened hashes: packed hashes and counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = np.frombuffer(b"".join(batch.column(0).to_pylist()), "uint64") >> SHORT
-            token, k = np.unique(every, return_counts=True)
-            bucket = (token >> np.uint64(44 - bits)).astype("int64")
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(token) else np.zeros(0, "int64")
-            ends = np.append(cut[1:], len(token))
-            low, k = (token & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(k, 65535).astype("<u2")
-            for s in range(0, len(cut), 4096):
-                at = list(zip(cut[s : s + 4096].tolist(), ends[s : s + 4096].tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[s : s + 4096]]), pa.array([int(token[x] >> np.uint64(32)) for x, _ in at], pa.int64()), pa.array([low[x:y].tobytes() for x, y in at], pa.binary()), pa.array([k[x:y].tobytes() for x, y in at], pa.binary())], ["bucket", "high", "low", "k"])
+            size = np.cumsum(pc.binary_length(batch.column(0)).to_numpy())
+            cuts = np.unique(np.concatenate([[0], np.searchsorted(size, np.arange(8 * BUCKET, size[-1] + 1, 8 * BUCKET)) + 1, [len(size)]])) if len(size) else []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                token, k = np.unique(np.frombuffer(b"".join(batch.column(0).slice(lo, hi - lo).to_pylist()), "uint64") >> SHORT, return_counts=True)
+                bucket = (token >> np.uint64(44 - bits)).astype("int64")
+                first = np.flatnonzero(np.diff(bucket, prepend=-1))
+                ends = np.append(first[1:], len(token)).tolist()
+                low, k = (token & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(k, 65535).astype("<u2")
+                packed = [[x[i:j].tobytes() for i, j in zip(first.tolist(), ends, strict=True)] for x in (low, k)]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array((token[first] >> np.uint64(32)).astype("int64")), *(pa.array(x, pa.binary()) for x in packed)], ["bucket", "high", "low", "k"])
 
     return run
 
@@ -192,7 +194,7 @@ def _wanted(order: Broadcast, only: Broadcast):
     return run
 
 
-def overlaps(probe: np.ndarray, members: list[bytes], percent: int) -> Iterator[int]:
+def overlaps(probe: np.ndarray, members: Iterable[bytes], percent: int) -> Iterator[int]:
     """For sets in global order (big-endian bytes, in ascending order of these): the overlap
     with the probe (sorted), or -1 where the threshold can't be reached.
 
@@ -224,62 +226,73 @@ def overlaps(probe: np.ndarray, members: list[bytes], percent: int) -> Iterator[
         before, counts, left = s, total, at
 
 
-def _walked(percent: int, one: bool):
-    """Similar pairs of the probes and the members of their groups in one task. one: a probe's
-    first link with a part of a group is enough, as the group is connected."""
+def _walked(percent: int):
+    """Similar pairs (probe, member) in one task: members of a cell stand in its trie, and each
+    probe walks it along those that share an n-gram of the prefixes with it and come later in the
+    order of groups. One link with a group is enough, as the group is connected."""
 
     def run(members: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
-        asked = dict(iter(probes.drop_duplicates(["g", "sig"]).groupby("g"))) if len(probes) else {}
-        for g, rows in members.groupby("g") if asked else ():
+        asked = dict(iter(probes.drop_duplicates(["cell", "sig"]).groupby("cell"))) if len(probes) else {}
+        for cell, rows in members.groupby("cell") if asked else ():
+            if cell not in asked:
+                continue
             rows = rows.drop_duplicates("sig").sort_values("set")
-            sigs, sets = rows["sig"].to_numpy(), rows["set"].tolist()
-            size = np.array([len(x) // 8 for x in sets])
+            sigs, sets, group, size = rows["sig"].to_numpy(), rows["set"].tolist(), rows["g"].to_numpy(), rows["size"].to_numpy()
+            n = np.array([len(x) // 8 for x in sets])
             heads = [_prefix(np.frombuffer(x, ">u8"), percent) for x in sets]
             token, owner = np.concatenate(heads).astype("uint64"), np.repeat(np.arange(len(sets)), [len(x) for x in heads])
             by = np.argsort(token, kind="stable")
             token, owner = token[by], owner[by]
-            for x, raw in zip(asked[g]["sig"], asked[g]["set"], strict=True) if g in asked else ():
+            for x, g, own, raw in asked[cell][["sig", "g", "size", "set"]].itertuples(index=False):
                 s = np.frombuffer(raw, ">u8").astype("uint64")
                 head = _prefix(s, percent)
                 lo, hi = np.searchsorted(token, head), np.searchsorted(token, head, side="right")
                 hit = np.flatnonzero(hi > lo)
                 near = np.unique(np.concatenate([owner[lo[i] : hi[i]] for i in hit])) if len(hit) else hit
-                near = near[(100 * np.minimum(size[near], len(s)) >= percent * np.maximum(size[near], len(s))) & (sigs[near] != x)]
-                for i, have in zip(near.tolist(), overlaps(np.sort(s), [sets[i] for i in near], percent), strict=True):
+                near = near[(100 * np.minimum(n[near], len(s)) >= percent * np.maximum(n[near], len(s))) & ((size[near] > own) | ((size[near] == own) & (group[near] > g)))]
+                done, now = set(), []
+
+                def left(near=near, done=done, now=now, group=group, sets=sets) -> Iterator[bytes]:
+                    for i in near.tolist():
+                        if group[i] not in done:
+                            now.append(i)
+                            yield sets[i]
+
+                for have in overlaps(np.sort(s), left(), percent):
                     if have >= 0:
                         a.append(x)
-                        b.append(sigs[i])
-                        if one:
-                            break
+                        b.append(sigs[now[-1]])
+                        done.add(group[now[-1]])
         return pd.DataFrame({"a": np.array(a, "int64"), "b": np.array(b, "int64")})
 
     return run
 
 
-def _links(members: DataFrame, probes: DataFrame, sets: DataFrame, order: Broadcast, percent: int, one: bool, name: str) -> DataFrame:
-    """Links (a, b) of probes (sig, g) with members (g, sig, n) of the group g, all of them
-    signatures. A group is dealt into parts of about PART n-grams, parts go to buckets, and a
-    bucket's probes are dealt into slices: no task holds a whole group, or all that ask for it."""
+def _links(members: DataFrame, probes: DataFrame, sets: DataFrame, order: Broadcast, percent: int, name: str) -> DataFrame:
+    """Links (a, b) of probes with members of their cells, where the member's group is the later
+    one by (size, g). Both are (cell, sig, n, g, size). A cell is dealt into parts of about PART
+    n-grams, parts go to buckets, and a bucket's probes are dealt into slices: no task holds a
+    whole cell, or all that ask for it."""
     members, probes = written(members, f"{name}-members"), written(probes, f"{name}-probes")
-    parts = members.groupBy("g").agg(F.ceil(F.sum(F.col("n") + 64) / PART).cast("int").alias("parts"), F.sum(F.col("n") + 64).alias("n"))
+    parts = members.groupBy("cell").agg(F.ceil(F.sum(F.col("n") + 64) / PART).cast("int").alias("parts"), F.sum(F.col("n") + 64).alias("total"))
     parts = written(parts, f"{name}-sizes")
-    count = max(1, math.ceil((parts.agg(F.sum("n")).first()[0] or 0) / PART))
-    bucket = F.pmod(F.xxhash64("g", "part"), F.lit(count)).alias("bucket")
-    asked = probes.join(parts.select("g", "parts"), "g").select("g", "sig", "n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("*", bucket)
-    slices = asked.groupBy("bucket").agg(F.ceil(F.sum(F.col("n") + 64) / PART).cast("int").alias("slices"))
-    asked = asked.join(slices, "bucket").select("bucket", F.pmod(F.xxhash64("sig"), "slices").cast("int").alias("slice"), "g", "sig")
-    held = members.join(parts.select("g", "parts"), "g").select("g", "sig", F.pmod(F.xxhash64("sig"), "parts").cast("int").alias("part")).select("*", bucket)
-    held = held.join(slices, "bucket").select("bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "g", "sig")
+    count = max(1, math.ceil((parts.agg(F.sum("total")).first()[0] or 0) / PART))
+    bucket, parts = F.pmod(F.xxhash64("cell", "part"), F.lit(count)).alias("bucket"), parts.select("cell", "parts")
+    asked = probes.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("*", bucket)
+    slices = written(asked.groupBy("bucket").agg(F.ceil(F.sum(F.col("n") + 64) / PART).cast("int").alias("slices")), f"{name}-slices")
+    asked = asked.join(slices, "bucket").withColumn("slice", F.pmod(F.xxhash64("sig"), "slices").cast("int"))
+    held = members.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("sig"), "parts").cast("int")).select("*", bucket)
+    held = held.join(slices, "bucket").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     wanted = _filter(members.select("sig").union(probes.select("sig")), "sig")
     known = sets.where("n > 0").select("sig", "set").mapInPandas(_wanted(order, wanted), "sig long, set binary")
     known = written(known.groupBy("sig").agg(F.first("set").alias("set")), f"{name}-sets")  # copies of a text have the same set
     wanted.destroy()
-    key = ["bucket", "slice"]
+    key, rest = ["bucket", "slice"], ["cell", "g", "size", "sig", "set"]
     again = known.select(F.col("sig").alias("sig"), F.col("set").alias("set"))
-    held = held.join(known, "sig").select(*key, "g", "sig", "set")
-    asked = asked.join(again, "sig").select(*[F.col(c).alias(c) for c in (*key, "g", "sig", "set")])
-    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_walked(percent, one), "a long, b long")
+    held = held.join(known, "sig").select(*key, *rest)
+    asked = asked.join(again, "sig").select(*[F.col(c).alias(c) for c in (*key, *rest)])
+    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_walked(percent), "a long, b long")
     return written(found, f"{name}-links")
 
 
@@ -297,9 +310,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Words are lower-cased in A-Z. Fewer than n words count as one shingle, no words (or null)
     give an empty set, which is linked with nothing. Texts of equal sets are one vertex,
     whatever their number. First, every list of a shared prefix n-gram links its sets to one of
-    them (as many candidates as postings). Then, for every two groups that still share a prefix
-    n-gram, the sets of the smaller one that have it walk the tries of the other, so neither
-    near copies nor sets that are nearly similar become rows of all their pairs.
+    them (as many candidates as postings). Then groups that still share prefix n-grams stand in
+    cells, each in that of its longest list, and the sets of smaller groups that meet a cell in a list
+    walk its tries, so neither near copies nor sets that are nearly similar become rows of all
+    their pairs.
 
     Returns id_col, n_shingles, component_id (the smallest id of its group, itself included) for
     every row; rows of one id are one document, a null id has a null component.
@@ -320,25 +334,31 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Of the sets that a set meets so, the one of most n-grams: near copies have many in common.
     stars = stars.groupBy(F.col("x.sig").alias("sig"), F.col("f.sig").alias("g"), F.col("x.n").alias("n"), F.col("f.n").alias("m")).agg(F.count("*").alias("both"))
     stars = written(stars.groupBy("sig", "n").agg(F.max(F.struct("both", "g", "m")).alias("m")).select("m.g", "sig", "n", "m.m"), "stars")
-    groups = components(_links(stars.select("g", "sig", "n"), stars.select(F.col("g").alias("sig"), "g", F.col("m").alias("n")).distinct(), sets, order, percent, False, "star"))
+    one = lambda n: F.lit(n).cast("long").alias("size")
+    members = stars.select(F.col("g").alias("cell"), "sig", "n", F.col("sig").alias("g"), one(1))
+    probes = stars.select(F.col("g").alias("cell"), F.col("g").alias("sig"), F.col("m").alias("n"), "g", one(0)).distinct()
+    groups = components(_links(members, probes, sets, order, percent, "star"))
 
     label = posts.join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn("g", F.coalesce("component", "sig")).drop("component")
-    apart = label.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
-    label = written(label.join(apart, "token", "left_semi"), "open")
+    apart = label.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("long")).where("low < high").select("token", "long")
+    label = written(label.join(apart, "token"), "open")
     size = label.select("g", "sig").distinct().groupBy("g").agg(F.count("*").alias("size"))
-    lists = label.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("rest")).join(size, "g")
-    x, y = label.join(size, "g").alias("x"), lists.alias("y")
+    cells = label.groupBy("g").agg(F.max(F.struct("long", "token")).alias("m")).select("g", F.col("m.token").alias("cell"))
+    label = written(label.join(size.join(cells, "g"), "g"), "cells")
+    later = F.struct("size", "g")
+    lists = label.groupBy("token", "cell").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("rest"), F.max(later).alias("last"))
+    x, y = label.alias("x"), lists.alias("y")
     can = (100 * F.col("x.n") >= percent * F.col("y.least")) & (100 * F.col("y.most") >= percent * F.col("x.n"))
     can &= F.least(F.col("x.n") - F.col("x.place"), F.col("y.rest")) * (100 + percent) >= percent * (F.col("x.n") + F.greatest("y.least", F.ceil(F.col("x.n") * percent / 100)))
-    smaller = F.struct("x.size", "x.g") < F.struct("y.size", "y.g")
-    probes = x.join(y, (F.col("x.token") == F.col("y.token")) & smaller & can).select(F.col("x.sig").alias("sig"), F.col("y.g").alias("g"), F.col("x.n").alias("n")).distinct()
+    before = F.struct("x.size", "x.g") < F.col("y.last")
+    probes = x.join(y, (F.col("x.token") == F.col("y.token")) & before & can).select(F.col("y.cell").alias("cell"), F.col("x.sig").alias("sig"), F.col("x.n").alias("n"), F.col("x.g").alias("g"), F.col("x.size").alias("size")).distinct()
     probes = written(probes, "between")
     # Rows of one id are one document, so their texts' sets belong together.
     several = rows.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a < b")
     more = rows.where("n > 0").join(several, "id").where("sig <> a").select("a", F.col("sig").alias("b"))
     if not probes.isEmpty():
-        members = label.select("g", "sig", "n").distinct().join(probes.select("g").distinct(), "g", "left_semi")
-        more = more.union(_links(members, probes, sets, order, percent, True, "between"))
+        members = label.select("cell", "sig", "n", "g", "size").distinct().join(probes.select("cell").distinct(), "cell", "left_semi")
+        more = more.union(_links(members, probes, sets, order, percent, "between"))
     more = written(more, "more")
     order.destroy()
     groups = groups if more.isEmpty() else merged(groups, more)
