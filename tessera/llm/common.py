@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Separators of words everywhere here: space and \t\n\v\f\r.
 WORD = r"[^\x20\x09-\x0D]+"
+HUB = 256  # a vertex with fewer edges is never a hub
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,37 +26,61 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _saved(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: later steps neither compute it
     again nor lose it with an executor."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _saved(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str | None) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    if path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _with_least(edges: DataFrame, count: int) -> DataFrame:
+    """The edges (a, b), each with the smallest b of its a as m. What hubs have is broadcast: a
+    hub has over a thousandth of the edges, so there are 1000 at most. Other vertices have few
+    edges, so the join by vertex is even."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    limit = max(HUB, count // 1000)
+    if count <= limit:
+        return edges.join(least.drop("n"), "a")
+    hubs = F.broadcast(least.where(F.col("n") > limit).drop("n"))
+    return edges.join(hubs, "a").union(edges.join(hubs.select("a"), "a", "left_anti").join(least.drop("n"), "a"))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected edges (a, b) of longs.
 
-    Large-star and small-star steps alternate until the edges stay the same; then
-    every edge joins a vertex to the smallest vertex of its component. Each step is
-    an aggregation (with partial sums) and an equi-join that adaptive execution can
-    split, so a vertex with very many edges doesn't land in one task. Null ends and
-    loops are left out. Returns (id, component) for every vertex that has an edge.
+    Large-star and small-star steps alternate until every edge joins a vertex to the
+    smallest vertex of its component: until no vertex has two smaller neighbours, or a
+    smaller and a larger one. Null ends and loops are left out. Returns (id, component)
+    for every vertex that has an edge.
     """
+    spark = edges.sparkSession
     now = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, seen = written(now, "edges"), None
+    now, path = _saved(now, "edges")
     for _ in range(max_rounds):
-        both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(small.union(least).distinct(), "edges")
-        sums = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if sums == seen:
+        ends = now.select("a", F.lit(1).alias("down"), F.lit(0).alias("up")).union(now.select("b", F.lit(0), F.lit(1)))
+        if ends.groupBy("a").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 AND down > 0").isEmpty():
             break
-        seen = sums
+        count = now.count()
+        both = _with_least(now.union(now.select("b", "a")), 2 * count)
+        large, middle = _saved(both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), "edges")
+        both = _with_least(large, count)
+        small = both.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(both.select("a", "m")).distinct()
+        before = path
+        now, path = _saved(small, "edges")
+        removed(spark, before)
+        removed(spark, middle)
     else:
         raise RuntimeError(f"no end after {max_rounds} rounds")
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
