@@ -3,7 +3,9 @@ text rendering that keeps block spacing, lists and aligned table cells."""
 
 from __future__ import annotations
 
+import bisect
 import html
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,7 +27,8 @@ IMPLIED = {
     "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr", "caption"), ("table",)), "tbody": (("tbody", "thead", "tfoot", "caption"), ("table",)),
     "thead": (("tbody", "thead", "tfoot", "caption"), ("table",)), "tfoot": (("tbody", "thead", "tfoot", "caption"), ("table",)), "body": (("head",), ()),
 }
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\x20\x09-\x0D/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\x20\x09-\x0D/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\x20\x09-\x0D/>]*+)([^>]*+)>""", re.S)
+REMARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?", re.S)
 ATTR = re.compile(r"""([^\x20\x09-\x0D"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\x20\x09-\x0D>]++)))?""")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 MAX_TABLES = 16  # tables nested deeper are laid out as blocks
@@ -41,7 +44,7 @@ class Node:
 def parse(source: str) -> Node:
     """The tree of a page. Missing end tags are implied, end tags without a start are ignored."""
     root = Node("#root", {})
-    stack, names, at, end = [root], Counter(), 0, len(source)
+    stack, names, at, end, last = [root], Counter(), 0, len(source), source.rfind(">")
 
     def close(tags: tuple[str, ...], stops: tuple[str, ...]) -> None:
         if not any(names[t] for t in tags):
@@ -55,15 +58,15 @@ def parse(source: str) -> Node:
                 return
 
     while at < end:
-        m = TOKEN.search(source, at)
+        m = (TOKEN if at <= last else REMARK).search(source, at)  # after the last > there are no tags
         if (stop := m.start() if m else end) > at:
             stack[-1].children.append(html.unescape(source[at:stop]))
         if not m:
             break
-        at, tag = m.end(), (m[2] or "").lower()
+        at, tag = m.end(), (m[2] or m[5] or "").lower()  # a tag with an unclosed quote ends at the next >
         if not tag:
             continue
-        if m[1]:
+        if m[1] or m[4]:
             close((tag,), ("table",) if tag not in ("table", "body", "html") else ())
             continue
         if tag in CLOSES_P:
@@ -72,7 +75,7 @@ def parse(source: str) -> Node:
             close(*IMPLIED[tag])
         if tag == "tr":
             close(("td", "th"), ("table",))
-        attrs = {k.lower(): html.unescape(a or b or c) for k, a, b, c in ATTR.findall(m[3])} if m[3] else {}
+        attrs = {k.lower(): html.unescape(a or b or c) for k, a, b, c in ATTR.findall(m[3] or m[6])} if m[3] or m[6] else {}
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag in RAW:
@@ -133,8 +136,28 @@ class _Lines:
         self.space, self.gap = False, max(self.gap, gap)
 
 
+def _spans(node: Node, name: str, most: int) -> int:
+    """colspan or rowspan, within the limits that the HTML standard sets."""
+    text = node.attrs.get(name, "1").strip()
+    if not (text.isascii() and text.isdigit()):
+        return 1
+    return max(1, most if len(text.lstrip("0")) > 5 else min(most, int(text)))
+
+
+def _holds_pre(node: Node) -> bool:
+    todo = [node]
+    while todo:
+        n = todo.pop()
+        if isinstance(n, Node):
+            if n.tag in ("pre", "textarea"):
+                return True
+            todo += n.children
+    return False
+
+
 def _table(node: Node, depth: int, shown: bool) -> list[str]:
-    """Rows of cells, each column as wide as its widest cell of one column."""
+    """Rows of cells, each column as wide as its widest cell of one column. Cells of several rows
+    stand in the first and leave their columns empty in the others; preformatted cells keep their lines."""
     rows, todo, captions = [], [(node, shown)], []
     while todo:
         n, shown = todo.pop()
@@ -158,28 +181,42 @@ def _table(node: Node, depth: int, shown: bool) -> list[str]:
             cells = []
             for c in n.children:
                 if isinstance(c, Node) and (see := _visible(c, shown)) is not None:
-                    span = c.attrs.get("colspan", "1")
-                    cells.append((SPACE.sub(" ", render(c, depth + 1, see)).strip(), min(1000, int(span)) if span.isascii() and span.isdigit() and int(span) else 1))
+                    text = render(c, depth + 1, see)
+                    lines = [x.rstrip() for x in text.strip("\n").split("\n")] if "\n" in text and _holds_pre(c) else [SPACE.sub(" ", text).strip()]
+                    cells.append((lines, _spans(c, "colspan", 1000), _spans(c, "rowspan", 65534)))
                 elif isinstance(c, str) and c.strip() and shown:
                     captions.append(SPACE.sub(" ", c).strip())
             rows.append(cells)
         else:  # stands in front of the table
             captions.append(" ".join(render(n, depth + 1, shown).split("\n")))
-    widths: Counter = Counter()
+    widths, placed, held = {}, [], {}  # held: by column, the rows below that a cell of several rows still takes
     for cells in rows:
-        at = 0
-        for text, span in cells:
+        at, row = 0, []
+        for lines, span, down in cells:
+            while held.get(at):
+                at += 1
+            row.append((at, span, lines))
             if span == 1:
-                widths[at] = max(widths[at], len(text))
+                widths[at] = max(widths.get(at, 0), max(map(len, lines)))
+            if down > 1:
+                held |= {i: down for i in range(at, at + span)}
             at += span
+        placed.append(row)
+        held = {i: n - 1 for i, n in held.items() if n > 1}
+    order = sorted(widths)
+    begin = dict(zip(order, itertools.accumulate([widths[x] + 3 for x in order], initial=0), strict=False))
     out = [c for c in captions if c]
-    for cells in rows:
-        at, line = 0, []
-        for text, span in cells:
-            line.append(text.ljust(sum(widths[i] for i in range(at, at + span)) + 3 * (span - 1)))
-            at += span
-        if any(x.strip() for x in line):
-            out.append(" | ".join(line).rstrip())
+    for row in placed:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line, first = "", True
+            for at, _, lines in row:
+                place = bisect.bisect_left(order, at)
+                start = begin[order[place]] if place < len(order) else len(line)
+                text = lines[k] if k < len(lines) else ""
+                line = (line.ljust(max(0, start - 3)) + ("" if first and not start else " | ") if start or not first else "") + text
+                first = False
+            if line.replace("|", "").strip():
+                out.append(line.rstrip())
     return out
 
 

@@ -68,3 +68,28 @@ def test_stray_and_hidden_parts_of_tables():
     assert shown("<table><script>var a</script><caption hidden>b</caption><tr><td>A</td></tr></table>") == ["A"]
     assert shown("<table><tr style='visibility:hidden'><td>a</td><td style='visibility:visible'>B</td></tr></table>") == ["|", "B"]
     assert shown("<table><tbody style='visibility:hidden'>x<tr><td>a</td></tr></tbody></table>") == []
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ('<table><tr><td colspan="' + "9" * 5000 + '">x<td>y</table>', "x | y"),
+        ("<table><tbody>lost text<p>para</p><tr><td>x", "lost text\npara\nx"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ('<p>before <a href="x>link</a> after</p><p>more', "before link after\n\nmore"),
+        ("<table><tr><td><pre>l1\n  l2</pre><td>z</table>", "l1   | z\n  l2 |"),
+        ("<table><tr><td>one<td>two<tr><td colspan=2>both<td>three</table>", "one | two\nboth      | three"),
+    ],
+)
+def test_spans_quotes_and_preformatted_cells(source, want):
+    assert re.sub(r" +$", "", text(source), flags=re.M) == want
+
+
+def test_work_and_output_stay_in_proportion():
+    import time
+
+    assert len(text("<table><tr>" + "<td colspan=1000>x" * 50 + "</table>")) < 1000
+    for piece in ("<a", "<a '", '<a "', "<!-", "</", "<a b='"):
+        began = time.time()
+        text(piece * 40_000 + "<p>x")
+        assert time.time() - began < 2, piece
