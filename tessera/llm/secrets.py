@@ -19,19 +19,19 @@ ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 
-# Words around a credential, in the languages of the corpus, and what joins them to a value.
+# Words around a credential, in the languages of the corpus, and what joins them to a value. The value is looked ahead for, so every keyword is tried.
 CONTEXT = re.compile(
     r"""(?ai:(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|auth(?:orization)?|bearer|credentials?|login|kennwort|passwort|contrase(?:n|ñ)a|clave|mot de passe)(?![a-z]))"""
-    r"""["']?(?:\x20*(?:[:=]|=>|\x20is\x20)\x20*|\x20+)["']?([^\x20\x09-\x0D"']{8,128})"""
+    r"""(?=["']?(?:\x20*(?:[:=]|=>|\x20is\x20)\x20*|\x20+)["']?([^\x20\x09-\x0D"']{8,}))"""
 )
 # Keyboard rows, whose runs are cheap to guess.
 WALKS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop", "abcdefghijklmnopqrstuvwxyz", "1qaz2wsx3edc")
 # Words that passwords are often made of, the most frequent first.
 COMMON = ("password", "admin", "welcome", "login", "letmein", "master", "dragon", "monkey", "secret", "token", "hello", "summer", "winter", "spring", "autumn", "user", "test", "guest", "root", "access", "love", "sunshine", "princess", "football", "the", "and", "your", "here", "example", "change", "none", "null", "true", "false", "value", "string", "key", "pass", "word", "for", "this", "that", "with", "from")
 LEET = str.maketrans("@4310$5+7!", "aaeiosstti")
-DATE = re.compile(r"(?:19|20)\d\d(?:[-./]?(?:0[1-9]|1[0-2])(?:[-./]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-./]?(?:0[1-9]|1[0-2])[-./]?(?:19|20)\d\d")
-DIGIT = re.compile("[0-9]")
-REPEAT = re.compile(r"(.{1,8}?)\1+", re.S)
+_MONTH, _DAY = r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+DATES = tuple(map(re.compile, (r"(?:19|20)\d\d", rf"(?:19|20)\d\d[-./]?{_MONTH}", rf"(?:19|20)\d\d[-./]?{_MONTH}[-./]?{_DAY}", rf"{_DAY}[-./]?{_MONTH}[-./]?(?:19|20)\d\d")))
+SIGNS = frozenset("!@#$%^&*+=~?<>|\\")
 
 
 def _alphabet(c: str) -> float:
@@ -44,62 +44,89 @@ def _ranks(words: tuple[str, ...]) -> dict[str, float]:
     return {w: math.log2(i + 2) for i, w in enumerate(words)}
 
 
-def guess_bits(value: str, words: tuple[str, ...] = COMMON) -> float:
+def _lowered(value: str) -> str:
+    """Lower case, character by character, so that places stay the same."""
+    return "".join(x if len(x := c.lower()) == 1 else c for c in value)
+
+
+def guess_bits(value: str, words: tuple[str, ...] = COMMON, limit: float = math.inf) -> float:
     """log2 of the guesses for value: the least cost of cutting it into dictionary words (also
     in capitals or with digits for letters), dates, repeats, keyboard walks and brute-force
-    spans. Dynamic programming over end positions: best[j] = min over i of best[i] + cost(i, j);
-    a span can only end where one of its kind is found, so the work is about linear. Every cut
-    costs one bit; a brute-force span costs its characters' alphabets."""
-    n, ranks, low = len(value), _ranks(words), value.lower()
-    longest, plain = max(map(len, ranks)), low.translate(LEET)
-    best = [0.0] + [math.inf] * n
-    date, run = {}, {}
-    for i in range(n):
-        if value[i].isdigit() and (m := DATE.match(value, i)):
-            date[i] = m.end()
-        if m := REPEAT.match(value, i):
-            run[i] = m
+    spans. Dynamic programming over end positions: best[j] = min over i of best[i] + cost(i, j),
+    for every span of every kind. A cut costs one bit, a brute-force span its characters'
+    alphabets; a repeat costs its unit, cut in the best way, and its number. With a limit, the
+    search ends where no cut can stay below it, with a number that isn't below it: what it
+    looks at then depends on the limit, not on the value's length."""
+    n, ranks, low = len(value), _ranks(words), _lowered(value)
+    longest, plain = max(map(len, ranks), default=0), low.translate(LEET)
+    best, far, runs = [0.0] + [math.inf] * n, 0, {}  # runs: where that of a unit's length and phase begins and ends
+
+    def ends(j: int, cost: float) -> None:
+        nonlocal far
+        if cost < best[j]:
+            best[j], far = cost, max(far, j)
+
     for i in range(n):
+        if limit < math.inf and i % 8 == 0 and (least := min(best[i : max(far, i) + 1])) >= limit:
+            return least
         here = best[i] + 1
-        best[i + 1] = min(best[i + 1], best[i] + _alphabet(value[i]))
+        ends(i + 1, best[i] + _alphabet(value[i]))
         for text, extra in ((low, 0.0), (plain, 2.0)):
             for j in range(i + 3, min(n, i + longest) + 1):
                 if (r := ranks.get(text[i:j])) is not None:
-                    best[j] = min(best[j], here + r + extra + (value[i:j] != low[i:j]))
-        if i in date:
-            best[date[i]] = min(best[date[i]], here + 15.5)
-        if i in run:
-            m = run[i]
-            unit = sum(map(_alphabet, m[1])) + math.log2((m.end() - i) // len(m[1]))
-            best[m.end()] = min(best[m.end()], here + unit)
+                    ends(j, here + r + extra + (value[i:j] != low[i:j]))
+        for date in DATES if value[i].isdigit() else ():
+            if m := date.match(value, i):
+                ends(m.end(), here + 15.5)
         for row in WALKS:
             for step in (row, row[::-1]):
                 at = step.find(low[i])
                 j = i
-                while at >= 0 and at < len(step) and j < n and low[j] == step[at]:
+                while 0 <= at < len(step) and j < n and low[j] == step[at]:
                     j, at = j + 1, at + 1
-                if j - i >= 3:
-                    best[j] = min(best[j], here + math.log2(len(WALKS) * 2 * len(step)) + math.log2(j - i))
+                    if j - i >= 3:
+                        ends(j, here + math.log2(len(WALKS) * 2 * len(step)) + math.log2(j - i))
+        u = value.find(value[i], i + 1) - i  # a unit can only end where its first character comes again
+        while u > 0 and i + 2 * u <= n:
+            end = i + 2 * u
+            if value.startswith(value[i : i + u], i + u):
+                start, end = runs.get((u, i % u), (i, 0))
+                if not start < i < end or best[i] < best[start] + math.log2(1 + (i - start) / u / 2):  # else starting with the run is cheaper
+                    unit, end = guess_bits(value[i : i + u], words, limit - here), i + 2 * u
+                    if here + unit >= limit:
+                        break
+                    ends(end, here + unit + 1)
+                    while value.startswith(value[i : i + u], end):
+                        end += u
+                        ends(end, here + unit + math.log2((end - i) // u))
+                    runs[u, i % u] = (i, end)
+            # Longer units that repeat within the same run are repeats of this one.
+            u = value.find(value[i], max(i + u + 1, i + (end - i) // 2 + 1)) - i
     return best[n]
 
 
+def _worth(value: str) -> bool:
+    """Letters with digits, or with two signs at least: what prose after a keyword hardly is."""
+    return any(c.isalpha() for c in value) and (any(c.isdigit() for c in value) or sum(c in SIGNS for c in value) >= 2)
+
+
 def find_spans(text: str, least_bits: float = 45.0, words: tuple[str, ...] = COMMON) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) by code points, end exclusive. Base matches of a kind are
-    leftmost and don't overlap. A "guess" is a value in a credential context, outside base
-    matches, that mixes letters with digits or signs and costs `least_bits` guesses or more."""
+    leftmost and don't overlap. A "guess" is a value of any length in a credential context that
+    mixes letters with digits or signs and costs `least_bits` guesses or more, also where it is
+    (or reaches beyond) an assigned value; one within an access or hex match isn't added."""
     low = text.lower()
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= LEAST_VALUE] if any(k in low for k in ("passw", "secret", "token", "api")) else []
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS] if "AKIA" in text else []
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    base = list(found)
-    for m in CONTEXT.finditer(text) if DIGIT.search(text) else ():  # a guessed value has a digit
-        start, end = m.span(1)
+    fixed, guesses = [x for x in found if x[0] != "assign"], {}
+    for m in CONTEXT.finditer(text):
+        start = m.start(1)
         value = m[1].rstrip(".,;:!?)]}>")
         end = start + len(value)
-        mixed = DIGIT.search(value) and any(c.isalpha() for c in value)
-        if len(value) >= 8 and mixed and not any(s < end and start < e for _, s, e in base) and guess_bits(value, words) >= least_bits:
-            found.append(("guess", start, end))
-    return found
+        if end not in guesses and len(value) >= 8 and _worth(value) and not any(s <= start and end <= e for _, s, e in fixed) and guess_bits(value, words, least_bits) >= least_bits:
+            guesses[end] = ("guess", start, end)
+    return found + list(guesses.values())
 
 
 def joined(spans: Iterable[tuple[str, int, int]]) -> str:
