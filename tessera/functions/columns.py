@@ -13,7 +13,8 @@ def stripped(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """A double, or null where the text isn't one. A trailing d or f, which Spark would take, and NaN give null."""
-    x = F.when(~c.rlike("[0-9.][dDfF]$"), c).try_cast("double")
+    suffix = F.right(c, F.lit(1)).isin(*"dDfF") & F.substring(c, -2, 1).isin(*"0123456789.")
+    x = F.when(~suffix, c).try_cast("double")
     return F.when(~F.isnan(x), x)
 
 

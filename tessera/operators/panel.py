@@ -9,7 +9,6 @@ from ..functions.columns import delinquent, prepaid
 
 LOAN, MONTH = "LOAN_SEQUENCE_NUMBER", "MONTHLY_REPORTING_PERIOD"
 SPARSE = "ESTIMATED_LOAN_TO_VALUE"
-MONTHS = 12 * 400  # a table with a row per month has fewer rows: the bound of what is broadcast by month
 
 
 def origination_columns(orig: DataFrame) -> DataFrame:
@@ -35,8 +34,8 @@ def average_rate(orig: DataFrame) -> DataFrame:
 
 def join_rate(months: DataFrame, rates: DataFrame) -> DataFrame:
     """Adds the mean rate of the reporting month; null where no loan began in it. The rates have
-    a row per calendar month (see MONTHS), so they are broadcast."""
-    return months.join(F.broadcast(rates.withColumnRenamed("FIRST_PAYMENT_DATE", "__month")), F.col(MONTH) == F.col("__month"), "left").drop("__month")
+    a row per month that the files name, so adaptive execution broadcasts them by their size."""
+    return months.join(rates.withColumnRenamed("FIRST_PAYMENT_DATE", "__month"), F.col(MONTH) == F.col("__month"), "left").drop("__month")
 
 
 def join_unemployment(months: DataFrame, unemployment: DataFrame) -> DataFrame:
@@ -73,7 +72,12 @@ def null_profile(df: DataFrame, limit_rows: int | None = None) -> DataFrame:
 
 
 def split_by_year(panel: DataFrame, last_year: int = 2021) -> tuple[DataFrame, DataFrame]:
-    """Months up to last_year, and later ones. Plain ranges of the yyyyMM text reach the scan;
-    months below the year 1000 or null are in neither or compare as text."""
+    """Months up to last_year, and later ones. Plain ranges of the yyyyMM text reach the scan, and
+    of a panel that is stored by REPORTING_YEAR only the years asked for are read; months below
+    the year 1000 or null are in neither or compare as text."""
     cut = f"{last_year + 1:04d}01"
-    return panel.where(F.col(MONTH) < cut), panel.where(F.col(MONTH) >= cut)
+    first, later = panel.where(F.col(MONTH) < cut), panel.where(F.col(MONTH) >= cut)
+    if "REPORTING_YEAR" in panel.columns:
+        year = F.col("REPORTING_YEAR").cast("string")
+        first, later = first.where(year <= f"{last_year:04d}"), later.where(year > f"{last_year:04d}")
+    return first, later

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.schemas import PREDICTION, TABLES
 
@@ -12,10 +11,12 @@ ROW_GROUP = 500_000
 
 
 def new_rows(df: DataFrame, held: DataFrame | None, keys: list[str] | None) -> DataFrame:
-    """Rows to append: all of them, or with keys those whose keys aren't held yet, one of each."""
+    """Rows to append: all of them, or with keys those whose keys aren't held yet, one of each: the
+    one with the smallest hash of its columns."""
     if not keys:
         return df
-    df = df.dropDuplicates(keys)
+    one = df.groupBy(*keys).agg(F.min(F.struct(F.xxhash64(*df.columns).alias("__hash"), *df.columns)).alias("__row"))
+    df = one.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns])
     return df if held is None else df.join(held.select(*keys), keys, "left_anti")
 
 
@@ -25,10 +26,8 @@ def append_table(df: DataFrame, name: str, folder: str, dedup_keys: list[str] |
     if name not in TABLES.values():
         raise ValueError(f"table name must be one of {sorted(TABLES.values())}")
     path, spark = f"{folder}/{name}", df.sparkSession
-    try:
-        held = spark.read.parquet(path)
-    except AnalysisException:
-        held = None
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = spark.read.parquet(path) if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place) else None
     if held is not None:
         df = df.select(*held.columns)
     new_rows(df, held, dedup_keys).write.mode("append").parquet(path)

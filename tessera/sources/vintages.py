@@ -34,8 +34,9 @@ def read_lines(spark: SparkSession, base: str, years: Iterable[int], kind: str,
     return spark.read.text(found).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.txt$", 1).try_cast("int").alias("vintage"))
 
 
-def _fields(lines: DataFrame):
-    return lines.withColumn("__f", F.split(stripped(F.col("value")), r"\|", -1))
+def _fields(lines: DataFrame) -> DataFrame:
+    """lines with their fields, stripped of white space all at once."""
+    return lines.withColumn("__f", F.split(F.regexp_replace(stripped(F.col("value")), r"(?U)\s*\|\s*", "|"), r"\|", -1))
 
 
 def parse(lines: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -44,7 +45,7 @@ def parse(lines: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame
     columns of lines to keep."""
     fields = schema(kind)
     good = _fields(lines).where(F.size("__f") == len(fields))
-    at = lambda i: stripped(F.col("__f")[i])
+    at = lambda i: F.col("__f")[i]
     return good.select(*[(number(at(i)) if f.dataType.simpleString() == "double" else at(i)).alias(f.name) for i, f in enumerate(fields)], *extra)
 
 

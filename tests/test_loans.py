@@ -140,3 +140,20 @@ def test_predictions_replace_their_run(spark, tmp_path):
         sinks.write_predictions(df, f"{tmp_path}/prediction", run)
     assert spark.read.parquet(f"{tmp_path}/prediction").count() == 2
     assert "PARTITIONED BY (run_id)" in sinks.prediction_ddl()
+
+
+def test_time_split_reads_only_the_years_asked_for(spark, tmp_path):
+    rows = [("L1", f"{y}{m:02d}", y) for y in (1998, 1999, 2000) for m in (1, 12)] + [("L2", None, 0)]
+    df = spark.createDataFrame(rows, "LOAN_SEQUENCE_NUMBER string, MONTHLY_REPORTING_PERIOD string, x int")
+    sinks.write_panel(df, str(tmp_path / "panel"))
+    first, later = panel.split_by_year(spark.read.parquet(str(tmp_path / "panel")), 1999)
+    assert sorted({r.x for r in first.collect()}) == [1998, 1999] and {r.x for r in later.collect()} == {2000}
+    for part in (first, later):
+        assert "PartitionFilters: []" not in part._jdf.queryExecution().executedPlan().toString()
+        assert "REPORTING_YEAR" in part._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_rows_to_append_are_the_same_in_every_run(spark):
+    df = spark.createDataFrame([(1, x) for x in range(50)] + [(2, 7)], "k int, x int")
+    got = [sorted(map(tuple, sinks.new_rows(df.repartition(n), None, ["k"]).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 2
