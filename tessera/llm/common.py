@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Separators of words everywhere here: space and \t\n\v\f\r.
 WORD = r"[^\x20\x09-\x0D]+"
+_made: list[str] = []  # paths of the tables that written() has made in this process
 HUB = 256  # a vertex with fewer edges is never a hub
 
 
@@ -28,6 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def _saved(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -45,6 +47,11 @@ def removed(spark: SparkSession, path: str | None) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def tables_made(since: int = 0) -> list[str]:
+    """Paths of the tables cut from their lineage so far, from the `since`-th on."""
+    return _made[since:]
+
+
 def _with_least(edges: DataFrame, count: int) -> DataFrame:
     """The edges (a, b), each with the smallest b of its a as m. What hubs have is broadcast: a
     hub has over a thousandth of the edges, so there are 1000 at most. Other vertices have few
