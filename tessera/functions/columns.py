@@ -23,6 +23,21 @@ def period(c: Column, kind: str) -> Column:
     return F.lpad(c.cast("bigint").cast("string"), 6, "0") if kind in ("int", "bigint", "double") else c if kind == "string" else F.date_format(c, "yyyyMM")
 
 
+def month_number(c: Column) -> Column:
+    """year * 100 + month of a date, as a whole number."""
+    return F.year(c) * 100 + F.month(c)
+
+
+def year_number(c: Column) -> Column:
+    """The year of a yyyyMM text as a whole number; a text that doesn't begin with one stops the job."""
+    return F.substring(c, 1, 4).cast("bigint")
+
+
+def is_period(c: Column) -> Column:
+    """Whether a text is a month of the form yyyyMM; null for null."""
+    return c.rlike("^[0-9]{4}(0[1-9]|1[0-2])$")
+
+
 def prepaid(code: str = "ZERO_BALANCE_CODE", effective: str = "ZERO_BALANCE_EFFECTIVE_DATE", maturity: str = "MATURITY_DATE") -> Column:
     """1 for a balance that went to zero by code 1 before maturity, else 0 (also where that is unknown)."""
     return F.when((F.col(code) == 1) & (F.col(effective) < F.col(maturity)), 1).otherwise(0)

@@ -7,15 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import delinquent, number, prepaid
+from ..functions.columns import delinquent, number, period, prepaid, year_number
 from ..functions.schemas import STATES
 from ..operators import boosting, metrics, panel, sampling
 from ..sources import sinks, vintages
 from . import fixtures, pipelines
 
 LOAN, MONTH, LAST_YEAR = panel.LOAN, panel.MONTH, 1999
-PARAMS = boosting.Params(trees=20)
-REPLICATES, FRACTION = 20, 0.05
+PARAMS = boosting.Params()
+REPLICATES, FRACTION = 100, 0.01
+RATE_CUT = 0.50032  # a threshold that no difference of rates meets
+#: A handwritten model (boosting.MODEL_SCHEMA): two replicates of two trees.
+FIXED_MODEL = [
+    (0, 0, 0, 1, 12.0, True, 0.0), (0, 0, 1, -1, 0.0, True, -0.4), (0, 0, 2, 4, 700.0, False, 0.0), (0, 0, 5, -1, 0.0, True, 0.3), (0, 0, 6, -1, 0.0, True, -0.2),
+    (0, 1, 0, 3, 30.0, False, 0.0), (0, 1, 1, -1, 0.0, True, 0.1), (0, 1, 2, -1, 0.0, True, -0.1),
+    (1, 0, 0, 6, 6.0, True, 0.0), (1, 0, 1, -1, 0.0, True, 0.25), (1, 0, 2, 5, RATE_CUT, True, 0.0), (1, 0, 5, -1, 0.0, True, -0.3), (1, 0, 6, -1, 0.0, True, 0.5),
+    (1, 1, 0, -1, 0.0, True, -0.05),
+]
 
 
 def _orig(spark, d):
@@ -63,11 +71,59 @@ def numeric_coercion(spark: SparkSession, d: str) -> DataFrame:
     return raw.select("o_orderkey", number(F.col("raw")).alias("value"))
 
 
-def unemp_reshape(spark: SparkSession, d: str) -> DataFrame:
+def _observations(spark, d):
     """Daily order figures as observations of state series: months, known states and ids that aren't series."""
     ids = F.concat(F.element_at(F.array(*map(F.lit, [*STATES, "DC", "PR"])), (F.col("o_custkey") % 52 + 1).cast("int")), F.when(F.col("o_orderkey") % 10 == 0, "XX").otherwise("UR"))
-    raw = spark.read.parquet(f"{d}/orders.parquet").select(ids.alias("series_id"), F.col("o_orderdate").alias("date"), F.col("o_totalprice").alias("value"))
-    return vintages.unemployment(raw)
+    return spark.read.parquet(f"{d}/orders.parquet").select(ids.alias("series_id"), F.col("o_orderdate").alias("date"), F.col("o_totalprice").alias("value"))
+
+
+def unemp_reshape(spark: SparkSession, d: str) -> DataFrame:
+    return vintages.unemployment(_observations(spark, d))
+
+
+def unemp_written(spark: SparkSession, d: str) -> DataFrame:
+    """The series written twice with whole numbers as months, read back, and the months as the panel joins them."""
+    path = fixtures.new_folder(spark)
+    for _ in range(2):
+        sinks.write_table(vintages.unemployment(_observations(spark, d), numbers=True), path)
+    return spark.read.parquet(path).select(F.col("date").alias("date_number"), period(F.col("date"), "int").alias("date"), "unemp", "state")
+
+
+def ingest_key_check(spark: SparkSession, d: str) -> DataFrame:
+    """Months of the panel's kinds, with some that have no month between 1 and 12 and some that are empty."""
+    month = F.lpad((F.month("o_orderdate") + 6 * (F.col("o_orderkey") % 3)).cast("string"), 2, "0")
+    key = F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.year("o_orderdate").cast("string"), month)).when(F.col("o_orderkey") % 2 == 0, "")
+    table = spark.read.parquet(f"{d}/orders.parquet").select(key.alias("MONTHLY_REPORTING_PERIOD"), F.date_format("o_orderdate", "yyyyMM").alias("FIRST_PAYMENT_DATE"))
+    return vintages.key_check(table, table.columns)
+
+
+def years(spark: SparkSession, d: str) -> DataFrame:
+    """Loan months by year, which every key must have."""
+    return _perf(spark, d).groupBy(year_number(F.col(MONTH)).alias("year")).agg(F.count("*").alias("n_rows"))
+
+
+def base_table_export(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of the same loans into the base table, and its export."""
+    folder = fixtures.new_folder(spark)
+    for _ in range(2):
+        sinks.append_table(_orig(spark, d), "origination", folder, [LOAN])
+    sinks.export_table(spark, "origination", folder, f"{folder}/export")
+    return spark.read.parquet(f"{folder}/export")
+
+
+def base_table_appended(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads without keys: every row is there twice."""
+    folder = fixtures.new_folder(spark)
+    for _ in range(2):
+        path = sinks.append_table(_orig(spark, d), "origination", folder)
+    return spark.read.parquet(path).groupBy(LOAN).agg(F.count("*").alias("n"), F.max("CREDIT_SCORE").alias("CREDIT_SCORE"))
+
+
+def panel_written(spark: SparkSession, d: str) -> DataFrame:
+    """The later months of the panel as it is stored: only their years are read."""
+    path = fixtures.new_folder(spark)
+    sinks.write_panel(_panel(spark, d), path)
+    return _rounded(panel.split_by_year(spark.read.parquet(path), LAST_YEAR)[1]).drop("REPORTING_YEAR")
 
 
 def append_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -164,6 +220,11 @@ def head_5000(spark: SparkSession, d: str) -> DataFrame:
     return _panel(spark, d).limit(5000).agg(F.count("*").alias("n_rows"))
 
 
+def preview(spark: SparkSession, d: str) -> DataFrame:
+    """The few rows that a notebook shows; which ones isn't determined."""
+    return _panel(spark, d).limit(5).agg(F.count("*").alias("n_rows"))
+
+
 def bootstrap_membership(spark: SparkSession, d: str) -> DataFrame:
     return sampling.membership(sampling.loans(_panel(spark, d)), REPLICATES, FRACTION, seed=7, portable=True)
 
@@ -206,13 +267,52 @@ def forecast_eval(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.evaluate(ensemble_score(spark, d))[0]
 
 
+def _fixed_scores(spark, d):
+    return boosting.score(_panel(spark, d), spark.createDataFrame(FIXED_MODEL, boosting.MODEL_SCHEMA))
+
+
+def _published(spark, d, report=None):
+    """Two runs of the same scores, the second one inserted again; its table, losses and monthly series."""
+    folder = fixtures.new_folder(spark)
+    table = "prediction_" + folder.rpartition("-")[2]
+    for run in (1, 2, 2):
+        out = pipelines.publish(_fixed_scores(spark, d), run, table, folder, report)
+    return table, *out
+
+
+def score_fixed_model(spark: SparkSession, d: str) -> DataFrame:
+    return _fixed_scores(spark, d).withColumn("DELINQ_PROB", F.round("DELINQ_PROB", 9))
+
+
+def predictions_read_back(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.read_predictions(spark, 2, _published(spark, d)[0]).withColumn("DELINQ_PROB", F.round("DELINQ_PROB", 9))
+
+
+def prediction_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each run in the catalog's table: a run inserted again isn't there twice."""
+    return spark.table(_published(spark, d)[0]).groupBy("run_id").agg(F.count("*").alias("n_rows"))
+
+
+def forecast_losses(spark: SparkSession, d: str) -> DataFrame:
+    out = _published(spark, d)[1]
+    return out.select(F.round("log_loss", 6).alias("log_loss"), F.round("brier_score", 6).alias("brier_score"), "n_rows", "n_extreme")
+
+
+def forecast_monthly(spark: SparkSession, d: str) -> DataFrame:
+    """The series behind the chart, as the run's report has it."""
+    report = fixtures.new_folder(spark)
+    _published(spark, d, report)
+    return spark.read.parquet(report).select(MONTH, "total_delinquent", *[F.round(c, 6).alias(c) for c in ("predicted_delinquent", "difference", "delinquent_pct", "predicted_delinquent_pct")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         ingest_orig_parse, ingest_perf_parse, ingest_quarantine, ingest_vintage_audit, numeric_coercion, unemp_reshape, append_dedup, append_plain, orig_projection, perf_projection, label_prepaid,
         label_delinquent, join_perf_orig_left, avg_rate_by_month, join_avg_rate, join_unemp_inner, rate_diff, origination_year_month, panel_full, panel_drop_sparse, loans_per_month, null_profile,
         unique_loans, split_train, split_validation, validation_count, head_5000, bootstrap_membership, bootstrap_rows, log_loss, brier_score, monthly_calibration, monthly_delinquency, model_fit,
-        ensemble_score, forecast_eval,
+        ensemble_score, forecast_eval, unemp_written, ingest_key_check, years, base_table_export, base_table_appended, panel_written, preview, score_fixed_model, predictions_read_back, prediction_runs,
+        forecast_losses, forecast_monthly,
     )
 }
 
@@ -226,6 +326,10 @@ panel AS (
     substr(o.FIRST_PAYMENT_DATE, 1, 4) AS ORIGINATION_YEAR, substr(o.FIRST_PAYMENT_DATE, 5, 2) AS ORIGINATION_MONTH
   FROM p LEFT JOIN o ON p.LOAN_SEQUENCE_NUMBER = o.LOAN_SEQUENCE_NUMBER LEFT JOIN rate ON p.MONTHLY_REPORTING_PERIOD = rate.m
   JOIN u ON p.MONTHLY_REPORTING_PERIOD = u.date AND o.PROPERTY_STATE = u.state
+), fixed AS (
+  SELECT LOAN_SEQUENCE_NUMBER, MONTHLY_REPORTING_PERIOD, DELINQUENT, (1 / (1 + exp(-a)) + 1 / (1 + exp(-b))) / 2 AS p FROM (SELECT *,
+    CASE WHEN LOAN_AGE IS NULL OR LOAN_AGE <= 12 THEN -0.4 WHEN CREDIT_SCORE <= 700 THEN 0.3 ELSE -0.2 END + CASE WHEN ORIGINAL_DEBT_TO_INCOME <= 30 THEN 0.1 ELSE -0.1 END AS a,
+    CASE WHEN UNEMPLOYMENT IS NULL OR UNEMPLOYMENT <= 6 THEN 0.25 WHEN INTEREST_RATE_DIFF IS NULL OR INTEREST_RATE_DIFF <= {RATE_CUT} THEN -0.3 ELSE 0.5 END - 0.05 AS b FROM panel)
 ), prediction AS (SELECT LOAN_SEQUENCE_NUMBER, MONTHLY_REPORTING_PERIOD, DELINQUENT, CAST(LOAN_AGE AS BIGINT) % 101 / 100.0 AS p FROM panel),
 member AS (
   SELECT LOAN_SEQUENCE_NUMBER, CAST(r AS INTEGER) AS replicate FROM (SELECT DISTINCT LOAN_SEQUENCE_NUMBER FROM panel), range({REPLICATES}) t(r)
@@ -247,6 +351,18 @@ ORACLES = {
         "ingest_vintage_audit": f"SELECT CAST(substr(FIRST_PAYMENT_DATE, 1, 4) AS INTEGER) AS vintage, count(*) FILTER ({_GOOD}) AS n_rows, count(*) FILTER (NOT ({_GOOD})) AS n_rejected FROM o GROUP BY 1",
         "numeric_coercion": "SELECT o_orderkey, CASE WHEN o_orderkey % 8 IN (0, 4) THEN CAST(o_orderkey AS DOUBLE) WHEN o_orderkey % 8 = 7 THEN o_orderkey + CAST(0.5 AS DOUBLE) END AS value FROM orders",
         "unemp_reshape": f"SELECT strftime(o_orderdate, '%Y%m') AS date, o_totalprice AS unemp, {_STATES}[o_custkey % 52 + 1] AS state FROM orders WHERE o_orderkey % 10 <> 0 AND o_custkey % 52 < 50",
+        "unemp_written": f"SELECT year(o_orderdate) * 100 + month(o_orderdate) AS date_number, strftime(o_orderdate, '%Y%m') AS date, o_totalprice AS unemp, {_STATES}[o_custkey % 52 + 1] AS state FROM orders WHERE o_orderkey % 10 <> 0 AND o_custkey % 52 < 50",
+        "ingest_key_check": "SELECT 'FIRST_PAYMENT_DATE' AS \"column\", count(*) AS n_rows, 0 AS n_missing, 0 AS n_invalid FROM orders UNION ALL SELECT 'MONTHLY_REPORTING_PERIOD', count(*), count(*) FILTER (o_orderkey % 7 = 0), count(*) FILTER (o_orderkey % 7 <> 0 AND month(o_orderdate) + 6 * (o_orderkey % 3) > 12) FROM orders",
+        "years": "SELECT CAST(substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS BIGINT) AS year, count(*) AS n_rows FROM p GROUP BY 1",
+        "base_table_export": "SELECT * FROM o",
+        "base_table_appended": "SELECT LOAN_SEQUENCE_NUMBER, CAST(2 * count(*) AS BIGINT) AS n, max(CREDIT_SCORE) AS CREDIT_SCORE FROM o GROUP BY 1",
+        "panel_written": f"SELECT * EXCLUDE (ESTIMATED_LOAN_TO_VALUE) FROM panel WHERE CAST(substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS INTEGER) > {LAST_YEAR}",
+        "preview": "SELECT least(5, count(*)) AS n_rows FROM panel",
+        "score_fixed_model": f"SELECT {_KEY}, DELINQUENT, round(p, 9) AS DELINQ_PROB FROM fixed",
+        "predictions_read_back": "SELECT MONTHLY_REPORTING_PERIOD, DELINQUENT, round(p, 9) AS DELINQ_PROB FROM fixed",
+        "prediction_runs": "SELECT CAST(r AS INTEGER) AS run_id, count(*) AS n_rows FROM fixed, range(1, 3) t(r) GROUP BY 1",
+        "forecast_losses": "SELECT round(avg(-(DELINQUENT * ln(p) + (1 - DELINQUENT) * ln(1 - p))), 6) AS log_loss, round(avg((p - DELINQUENT) * (p - DELINQUENT)), 6) AS brier_score, count(*) AS n_rows, 0 AS n_extreme FROM fixed",
+        "forecast_monthly": "SELECT MONTHLY_REPORTING_PERIOD, CAST(sum(DELINQUENT) AS BIGINT) AS total_delinquent, round(sum(p), 6) AS predicted_delinquent, round(sum(p) - sum(DELINQUENT), 6) AS difference, round(sum(DELINQUENT) / count(*), 6) AS delinquent_pct, round(sum(p) / count(*), 6) AS predicted_delinquent_pct FROM fixed GROUP BY 1",
         "append_dedup": "SELECT LOAN_SEQUENCE_NUMBER, CREDIT_SCORE FROM o WHERE CAST(substr(LOAN_SEQUENCE_NUMBER, 11, 1) AS INTEGER) % 2 = 0",
         "append_plain": "SELECT LOAN_SEQUENCE_NUMBER, CAST(2 * count(*) AS BIGINT) AS n FROM o GROUP BY 1",
         "orig_projection": "SELECT * FROM o",

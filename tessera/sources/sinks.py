@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.schemas import PREDICTION, TABLES
@@ -53,7 +53,38 @@ def write_predictions(df: DataFrame, path: str, run_id: int) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
-def prediction_ddl(table: str = "prediction") -> str:
-    """DDL of the prediction table in a catalog."""
+def prediction_ddl(table: str = "prediction", path: str | None = None) -> str:
+    """DDL of the prediction table in a catalog, kept at path or in the warehouse."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PREDICTION)
-    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run_id int) USING parquet PARTITIONED BY (run_id)"
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run_id int) USING parquet PARTITIONED BY (run_id)" + (f" LOCATION '{path}'" if path else "")
+
+
+def create_predictions(spark: SparkSession, table: str = "prediction", path: str | None = None) -> None:
+    """Makes the prediction table if it isn't there; runs that lie at path already belong to it."""
+    spark.sql(prediction_ddl(table, path))
+    if path:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def insert_predictions(df: DataFrame, run_id: int, table: str = "prediction") -> None:
+    """Predictions of a run into the catalog's table. A run that is inserted again takes the place
+    of its earlier rows, so a repeated job adds nothing twice."""
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in PREDICTION])
+    df.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = {int(run_id)}) SELECT * FROM {{rows}}", rows=rows)
+
+
+def read_predictions(spark: SparkSession, run_id: int | None = None, table: str = "prediction") -> DataFrame:
+    """What evaluation needs of the predictions of one run or all: the scan reads these columns only."""
+    rows = spark.table(table)
+    return (rows if run_id is None else rows.where(F.col("run_id") == run_id)).select("MONTHLY_REPORTING_PERIOD", "DELINQUENT", "DELINQ_PROB")
+
+
+def export_table(spark: SparkSession, name: str, folder: str, path: str) -> None:
+    """A base table as a Parquet export, taken through a view of its name that goes afterwards."""
+    spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(name)
+    try:
+        write_table(spark.sql(f"SELECT * FROM {name}"), path)
+    finally:
+        spark.catalog.dropTempView(name)

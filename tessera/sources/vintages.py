@@ -5,10 +5,11 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import number, period, stripped
+from ..functions.columns import is_period, month_number, number, period, stripped
 from ..functions.schemas import STATES, SUFFIX, schema
 
 
@@ -17,18 +18,26 @@ def vintage_path(base: str, year: int, kind: str) -> str:
     return f"{base}/sample_{year}/sample_{SUFFIX[kind]}_{year}.txt"
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place).close()
+    except Py4JJavaError:
+        return False
+    return True
+
+
 def read_lines(spark: SparkSession, base: str, years: Iterable[int], kind: str, on_missing: str = "warn") -> DataFrame:
-    """Lines (value, vintage) of many years in one scan. A file that isn't there is left out
-    with a warning, or raises FileNotFoundError with on_missing="raise"."""
+    """Lines (value, vintage) of many years in one scan. A file that isn't there or can't be opened
+    is left out with a warning, or raises FileNotFoundError with on_missing="raise"."""
     found = []
     for path in (vintage_path(base, y, kind) for y in years):
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        if _readable(spark, path):
             found.append(path)
         elif on_missing == "raise":
             raise FileNotFoundError(path)
         else:
-            warnings.warn(f"no file {path}", stacklevel=2)
+            warnings.warn(f"no file that can be read: {path}", stacklevel=2)
     if not found:
         return spark.createDataFrame([], "value string, vintage int")
     return spark.read.text(found).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.txt$", 1).try_cast("int").alias("vintage"))
@@ -61,9 +70,19 @@ def audit(lines: DataFrame, kind: str) -> DataFrame:
     return _fields(lines).groupBy("vintage").agg(F.count_if(good).alias("n_rows"), F.count_if(~good).alias("n_rejected"))
 
 
-def unemployment(observations: DataFrame) -> DataFrame:
+def key_check(table: DataFrame, columns: list[str]) -> DataFrame:
+    """How many months (yyyyMM) each of the columns lacks (null or empty) or has in another form:
+    one row per column. The time split and the joins compare them as text, so check them at ingest."""
+    long = table.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("key")) for c in columns])).alias("x")).select("x.*")
+    missing = F.coalesce(F.col("key"), F.lit("")) == ""
+    return long.groupBy("column").agg(F.count("*").alias("n_rows"), F.count_if(missing).alias("n_missing"), F.count_if(~missing & ~is_period(F.col("key"))).alias("n_invalid"))
+
+
+def unemployment(observations: DataFrame, numbers: bool = False) -> DataFrame:
     """(date yyyyMM, unemp, state) from observations (series_id, date, value) of the series
-    <state>UR of the known states; date may be a date, a timestamp, or year * 100 + month."""
+    <state>UR of the known states; date may be a date, a timestamp, or year * 100 + month. With
+    numbers, date is a date or timestamp and comes out as the number year * 100 + month."""
     state = F.substring("series_id", 1, 2)
     rows = observations.where(F.col("series_id").rlike("^[A-Z]{2}UR$") & state.isin(STATES))
-    return rows.select(period(F.col("date"), observations.schema["date"].dataType.simpleString()).alias("date"), F.col("value").cast("double").alias("unemp"), state.alias("state"))
+    date = month_number(F.col("date")) if numbers else period(F.col("date"), observations.schema["date"].dataType.simpleString())
+    return rows.select(date.alias("date"), F.col("value").cast("double").alias("unemp"), state.alias("state"))

@@ -3,10 +3,11 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import delinquent, number, prepaid, stripped
+from tessera.functions.columns import delinquent, number, prepaid, stripped, year_number
 from tessera.functions.schemas import FEATURES, ORIGINATION_COLUMNS, PERFORMANCE_COLUMNS, schema
 from tessera.operators import boosting, metrics, panel, sampling
 from tessera.plans import pipelines
@@ -58,6 +59,22 @@ def test_ingest_files(spark, tmp_path):
         sinks.append_table(spark.range(1), "other", base)
 
 
+def test_files_that_cannot_be_read_are_left_out(spark, tmp_path):
+    (tmp_path / "sample_1999" / "sample_orig_1999.txt").mkdir(parents=True)
+    with pytest.warns(UserWarning):
+        assert vintages.read_lines(spark, str(tmp_path), [1999], "orig").count() == 0
+    with pytest.raises(FileNotFoundError):
+        vintages.read_lines(spark, str(tmp_path), [1999], "orig", on_missing="raise")
+
+
+def test_keys(spark):
+    df = spark.createDataFrame([("199912",), ("199913",), ("19991",), (" 19991",), ("",), (None,)], "m string")
+    assert [tuple(r) for r in vintages.key_check(df, ["m"]).collect()] == [("m", 6, 2, 3)]
+    assert df.where("m = '199912'").select(year_number(F.col("m"))).first()[0] == 1999
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        df.where("m = ''").select(year_number(F.col("m"))).collect()
+
+
 def test_follow(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text(line("perf", LOAN_SEQUENCE_NUMBER="L1", CURRENT_LOAN_DELINQUENCY_STATUS="RA") + "\nbad\n")
@@ -142,6 +159,39 @@ def test_predictions_replace_their_run(spark, tmp_path):
     assert "PARTITIONED BY (run_id)" in sinks.prediction_ddl()
 
 
+def test_table_of_predictions_outlives_its_catalog_entry(spark, tmp_path):
+    df = spark.createDataFrame([("L1", "200001", 1, 0.5), ("L2", "200002", 0, 0.25)], "LOAN_SEQUENCE_NUMBER string, MONTHLY_REPORTING_PERIOD string, DELINQUENT int, DELINQ_PROB double")
+    for run in (1, 2, 2):
+        losses, monthly = pipelines.publish(df, run, "kept", f"{tmp_path}/kept", f"{tmp_path}/report")
+    assert losses.first().n_rows == monthly.count() == spark.read.parquet(f"{tmp_path}/report").count() == 2
+    spark.sql("DROP TABLE kept")
+    sinks.create_predictions(spark, "kept", f"{tmp_path}/kept")
+    assert sinks.read_predictions(spark, table="kept").count() == 4
+    assert "DELINQ_PROB:double" in (plan := sinks.read_predictions(spark, 1, "kept")._jdf.queryExecution().executedPlan().toString()) and "LOAN_SEQUENCE_NUMBER" not in plan.split("ReadSchema")[1]
+    spark.sql("DROP TABLE kept")
+
+
+def test_predictions_walk_the_trees(spark):
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(500, 3)), rng.integers(0, 2, 500)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    found = [(r, *t) for r in (0, 1) for t in boosting.fit_trees(x, y, np.ones(500), boosting.Params(trees=5), r)]
+    nodes = {(r, t, n): rest for r, t, n, *rest in found}
+
+    def p(replicate, row):
+        margin = 0.0
+        for tree in range(5):
+            n = 0
+            while nodes[replicate, tree, n][0] >= 0:
+                feature, threshold, left, _ = nodes[replicate, tree, n]
+                n = 2 * n + (1 if (left if np.isnan(row[feature]) else row[feature] <= threshold) else 2)
+            margin += nodes[replicate, tree, n][3]
+        return 1 / (1 + math.exp(-margin))
+
+    model = pd.DataFrame(found, columns=["replicate", "tree", "node", "feature", "threshold", "default_left", "leaf"])
+    assert boosting.predict(boosting.laid_out(model), x) == pytest.approx([(p(0, row) + p(1, row)) / 2 for row in x], abs=1e-12)
+
+
 def test_time_split_reads_only_the_years_asked_for(spark, tmp_path):
     rows = [("L1", f"{y}{m:02d}", y) for y in (1998, 1999, 2000) for m in (1, 12)] + [("L2", None, 0)]
     df = spark.createDataFrame(rows, "LOAN_SEQUENCE_NUMBER string, MONTHLY_REPORTING_PERIOD string, x int")
