@@ -61,8 +61,8 @@ def _literal_keys(words: DataFrame) -> DataFrame:
     return words.where((size > 0) & (size <= LITERAL)).select(F.explode(keys).alias("k"), "id", "n").select("k.key", "id", "n", "k.skips", "k.starts")
 
 
-def _rotation_hashes(word: str) -> Iterator[tuple[str, bool, bool]]:
-    """(key, skips, starts) of the prefixes of over LITERAL characters, as hashes of 120 bits; each
+def _rotation_hashes(word: str, literal: int) -> Iterator[tuple[str, bool, bool]]:
+    """(key, skips, starts) of the prefixes of over `literal` characters, as hashes of 120 bits; each
     follows from hashes of the word's beginnings in a step."""
     size, codes = len(word), [ord(c) + 1 for c in word]
     sides = []
@@ -82,7 +82,7 @@ def _rotation_hashes(word: str) -> Iterator[tuple[str, bool, bool]]:
             found.append(((x * _BASE + ord(MARK) + 1) * power[head] + start[head]) % p)
         return f"#{length}:{found[0]:x}:{found[1]:x}"
 
-    if size > LITERAL:
+    if size > literal:
         for i in range(size):
             yield key(i + 1, i, size), True, i == 0 or word[i] != word[i - 1]
     for j in range(size + 1):
@@ -90,11 +90,13 @@ def _rotation_hashes(word: str) -> Iterator[tuple[str, bool, bool]]:
 
 
 def _hashed_keys(words: DataFrame) -> DataFrame:
+    literal = LITERAL
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for word, i, n in zip(batch["word"], batch["id"], batch["n"], strict=True):
                 rows: list[tuple] = []
-                for found in _rotation_hashes(word):
+                for found in _rotation_hashes(word, literal):
                     rows.append(found)
                     if len(rows) == 10_000:
                         yield pd.DataFrame(rows, columns=["key", "skips", "starts"]).assign(id=i, n=n)
@@ -102,7 +104,7 @@ def _hashed_keys(words: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=["key", "skips", "starts"]).assign(id=i, n=n)
 
-    return words.where(F.length("word") >= LITERAL).select("word", "id", "n").mapInPandas(run, KEYS)
+    return words.where(F.length("word") >= literal).select("word", "id", "n").mapInPandas(run, KEYS)
 
 
 def _groups(words: DataFrame) -> DataFrame:

@@ -51,10 +51,9 @@ def test_against_all_phrases(spark, budget, longest, least):
     assert sorted(tuple(r) for r in got.collect()) == brute(docs, longest, least, top=100)
 
 
-def test_small_chunks_and_large_numbers(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "CHUNK", 50)
-    docs = documents(9)
-    df = spark.createDataFrame(docs, "text string, lang string")
+def test_several_chunks(spark):
+    docs = documents(9) + [("big apple pie " * 25_000, "en")] * 16
+    df = spark.createDataFrame(docs, "text string, lang string").coalesce(1)
     assert sorted(tuple(r) for r in collocations.collocations(df).collect()) == brute(docs)
 
 
