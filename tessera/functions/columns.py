@@ -14,7 +14,7 @@ def stripped(c: Column) -> Column:
 def number(c: Column) -> Column:
     """A double, or null where the text isn't one. A trailing d or f, which Spark would take, and NaN give null."""
     suffix = F.right(c, F.lit(1)).isin(*"dDfF") & F.substring(c, -2, 1).isin(*"0123456789.")
-    x = F.when(~suffix, c).try_cast("double")
+    x = F.when((c != "") & ~suffix, c).try_cast("double")  # a cast that fails costs much, and most fields are empty
     return F.when(~F.isnan(x), x)
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.schemas import ORIGINATION_COLUMNS, PERFORMANCE_COLUMNS, schema
+from ..sources.shared import new_folder  # noqa: F401
 
 ORIGINATION = """
 SELECT concat('L', lpad(CAST(o_orderkey AS {text}), 10, '0')) AS LOAN_SEQUENCE_NUMBER, CAST(12 * (1 + o_orderkey % 5) AS DOUBLE) AS ORIGINAL_LOAN_TERM,
@@ -50,18 +48,6 @@ def unemployment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loan_table(spark, sf_dir, UNEMPLOYMENT)
 
 
-def new_folder(spark: SparkSession) -> str:
-    """A name for a new folder in the one that executors share, spark.checkpoint.dir; where that is
-    unset, one is made, but only for a local master (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/loans-{uuid.uuid4().hex}"
-
-
 def lines(table: DataFrame, kind: str) -> DataFrame:
     """Text lines (value) of a derived table as a vintage file has them; fields that the table
     doesn't have are empty, and every fiftieth loan's lines lack their last field."""

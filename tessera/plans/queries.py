@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from ..functions.columns import delinquent, number, period, prepaid, year_number
 from ..functions.schemas import STATES
 from ..operators import boosting, metrics, panel, sampling
 from ..sources import sinks, vintages
+from ..sources.shared import written
 from . import fixtures, pipelines
 
 LOAN, MONTH, LAST_YEAR = panel.LOAN, panel.MONTH, 1999
@@ -254,13 +256,44 @@ def monthly_delinquency(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_fit(spark: SparkSession, d: str) -> DataFrame:
-    p = _panel(spark, d)
-    members = sampling.membership(sampling.loans(p), REPLICATES, FRACTION, seed=7)
-    return boosting.fit(sampling.sampled_rows(panel.split_by_year(p, LAST_YEAR)[0], members), params=PARAMS)
+    return boosting.fit(pipelines.sampled(written(_panel(spark, d), "panel"), pipelines.Forecast(LAST_YEAR, REPLICATES, FRACTION, 7)), params=PARAMS)
+
+
+#: Edges of bins for the features, in their order; the rates' differences don't meet them.
+FIXED_EDGES = [[12.0, 24, 36, 48], [float(x) for x in range(0, 120, 6)], [float(x) for x in range(45, 100, 5)], [float(x) for x in range(15, 55, 5)], [float(x) for x in range(600, 800, 20)], [x / 2 + 0.00032 for x in range(-6, 7)], [x / 2 for x in range(7, 22)]]
+FEW = 20  # replicates of the queries that look at single splits
+
+
+def first_splits(spark: SparkSession, d: str) -> DataFrame:
+    """The first split of every replicate and its leaves, grown over the cluster whatever a replicate's size."""
+    run = pipelines.Forecast(LAST_YEAR, FEW, 0.2, 7, portable=True)
+    model = boosting.fit(pipelines.sampled(_panel(spark, d), run), params=boosting.Params(trees=1, depth=1, rows=1.0, columns=1.0), edges=FIXED_EDGES, group_rows=0)
+    return model.select("replicate", "node", "feature", "threshold", "default_left", F.round("leaf", 9).alias("leaf"))
+
+
+def forecast_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """A training that is stopped after its first job and goes on: what each run has fitted, and
+    how many later months the model that is read back scores."""
+    p, folder = written(_panel(spark, d), "panel"), fixtures.new_folder(spark)
+    run = pipelines.Forecast(LAST_YEAR, FEW, 0.2, 7, portable=True, params=boosting.Params(trees=10), at_a_time=8)
+    path = pipelines.train(p, folder, run, at_most=1)
+    first = boosting.fitted(spark, path)
+    pipelines.train(p, folder, run)
+    model = boosting.read_model(spark, path)
+    scored = boosting.score(panel.split_by_year(p, LAST_YEAR)[1], model).agg(F.count_if((F.col("DELINQ_PROB") > 0) & (F.col("DELINQ_PROB") < 1)).alias("n_scored"))
+    trees = model.groupBy("replicate").agg(F.countDistinct("tree").alias("n_trees"))
+    return trees.select("replicate", F.when(F.col("replicate").isin(sorted(first)), 1).otherwise(2).alias("fitted_by_run"), "n_trees").join(scored)
+
+
+def bootstrap_weighted(spark: SparkSession, d: str) -> DataFrame:
+    """Loans of every replicate with how often each was drawn, and their rows counted so often."""
+    p = written(_panel(spark, d).select(LOAN, "DELINQUENT"), "panel")
+    rows = sampling.sampled_rows(p, sampling.membership(sampling.loans(p), FEW, 0.5, seed=7, portable=True, weighted=True))
+    return rows.groupBy("replicate", "weight").agg(F.countDistinct(LOAN).alias("n_loans"), F.sum("weight").alias("n_rows"), F.sum(F.col("weight") * F.col("DELINQUENT")).alias("n_delinquent"))
 
 
 def ensemble_score(spark: SparkSession, d: str) -> DataFrame:
-    return pipelines.forecast(_panel(spark, d), LAST_YEAR, REPLICATES, FRACTION, seed=7, params=PARAMS)
+    return pipelines.forecast(written(_panel(spark, d), "panel"), LAST_YEAR, REPLICATES, FRACTION, seed=7, params=PARAMS)
 
 
 def forecast_eval(spark: SparkSession, d: str) -> DataFrame:
@@ -312,7 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         label_delinquent, join_perf_orig_left, avg_rate_by_month, join_avg_rate, join_unemp_inner, rate_diff, origination_year_month, panel_full, panel_drop_sparse, loans_per_month, null_profile,
         unique_loans, split_train, split_validation, validation_count, head_5000, bootstrap_membership, bootstrap_rows, log_loss, brier_score, monthly_calibration, monthly_delinquency, model_fit,
         ensemble_score, forecast_eval, unemp_written, ingest_key_check, years, base_table_export, base_table_appended, panel_written, preview, score_fixed_model, predictions_read_back, prediction_runs,
-        forecast_losses, forecast_monthly,
+        forecast_losses, forecast_monthly, first_splits, forecast_resumed, bootstrap_weighted,
     )
 }
 
@@ -336,6 +369,28 @@ member AS (
   WHERE CAST(('0x' || substr(md5(LOAN_SEQUENCE_NUMBER || '/' || r || '/7'), 1, 8)) AS BIGINT) < CAST(floor((1 - exp(-{FRACTION})) * 4294967296) AS BIGINT)
 )
 """
+def _member(alias: str, columns: str, fraction: float, tails: bool = False) -> str:
+    """Loans of FEW replicates by the portable draws, with their weights if tails."""
+    cut = [f"CAST(floor({t!r} * 4294967296) AS BIGINT)" for t in (sampling.poisson_tails(fraction) if tails else [1 - math.exp(-fraction)])]
+    return f"""{alias} AS (
+  SELECT LOAN_SEQUENCE_NUMBER, replicate{columns} FROM (
+    SELECT LOAN_SEQUENCE_NUMBER, CAST(r AS INTEGER) AS replicate, CAST(('0x' || substr(md5(LOAN_SEQUENCE_NUMBER || '/' || r || '/7'), 1, 8)) AS BIGINT) AS draw
+    FROM (SELECT DISTINCT LOAN_SEQUENCE_NUMBER FROM panel), range({FEW}) t(r)) WHERE draw < {cut[0]}
+)""".replace("{weight}", " + ".join(f"CAST(draw < {c} AS INTEGER)" for c in cut))
+
+
+_SPLITS = f"""{_member("few", "", 0.2)}, value AS (
+  SELECT replicate, DELINQUENT, unnest([ORIGINAL_LOAN_TERM, LOAN_AGE, ORIGINAL_LOAN_TO_VALUE, ORIGINAL_DEBT_TO_INCOME, CREDIT_SCORE, INTEREST_RATE_DIFF, UNEMPLOYMENT]) AS v, unnest(range(7)) AS feature
+  FROM panel JOIN few USING (LOAN_SEQUENCE_NUMBER) WHERE CAST(substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS INTEGER) <= {LAST_YEAR}
+), edge AS (SELECT feature, unnest(range(1, len(edges) + 1)) AS bin, CAST(unnest(edges) AS DOUBLE) AS e FROM (SELECT unnest(range(7)) AS feature, unnest({FIXED_EDGES}) AS edges)
+), total AS (SELECT replicate, sum(0.5 - DELINQUENT) AS g, sum(0.25) AS h FROM value WHERE feature = 0 GROUP BY 1
+), side AS (
+  SELECT value.replicate, value.feature, bin, e, missing_left, sum(CASE WHEN v <= e OR (v IS NULL AND missing_left) THEN 0.5 - DELINQUENT ELSE 0 END)::DOUBLE AS a, sum(CASE WHEN v <= e OR (v IS NULL AND missing_left) THEN 0.25 ELSE 0 END)::DOUBLE AS b
+  FROM value JOIN (SELECT * FROM edge UNION ALL SELECT f, 0, '-inf'::DOUBLE FROM range(7) t(f)) AS edge USING (feature), (VALUES (true), (false)) t(missing_left) GROUP BY ALL
+), gain AS (SELECT side.*, g::DOUBLE AS g, h::DOUBLE AS h, a * a / (b + 1) + (g - a) * (g - a) / (h - b + 1) - g * g / (h + 1) AS gain FROM side JOIN total USING (replicate) WHERE b >= 1 AND h - b >= 1
+), best AS (SELECT * FROM gain WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY replicate ORDER BY gain DESC, feature, missing_left DESC, bin) = 1)
+SELECT replicate, 0 AS node, CAST(feature AS INTEGER) AS feature, e AS threshold, missing_left AS default_left, CAST(0 AS DOUBLE) AS leaf FROM best
+UNION ALL SELECT replicate, 1, -1, 0, true, round(-0.1 * a / (b + 1), 9) FROM best UNION ALL SELECT replicate, 2, -1, 0, true, round(-0.1 * (g - a) / (h - b + 1), 9) FROM best"""
 _PERF = "p.LOAN_SEQUENCE_NUMBER, p.LOAN_AGE, p.MONTHLY_REPORTING_PERIOD, p.ESTIMATED_LOAN_TO_VALUE, p.CURRENT_INTEREST_RATE, p.ZERO_BALANCE_CODE, p.ZERO_BALANCE_EFFECTIVE_DATE, p.CURRENT_LOAN_DELINQUENCY_STATUS"
 _LEFT = "FROM p LEFT JOIN o ON p.LOAN_SEQUENCE_NUMBER = o.LOAN_SEQUENCE_NUMBER"
 _GOOD = "CAST(substr(LOAN_SEQUENCE_NUMBER, 2) AS BIGINT) % 50 <> 0"
@@ -363,6 +418,9 @@ ORACLES = {
         "prediction_runs": "SELECT CAST(r AS INTEGER) AS run_id, count(*) AS n_rows FROM fixed, range(1, 3) t(r) GROUP BY 1",
         "forecast_losses": "SELECT round(avg(-(DELINQUENT * ln(p) + (1 - DELINQUENT) * ln(1 - p))), 6) AS log_loss, round(avg((p - DELINQUENT) * (p - DELINQUENT)), 6) AS brier_score, count(*) AS n_rows, 0 AS n_extreme FROM fixed",
         "forecast_monthly": "SELECT MONTHLY_REPORTING_PERIOD, CAST(sum(DELINQUENT) AS BIGINT) AS total_delinquent, round(sum(p), 6) AS predicted_delinquent, round(sum(p) - sum(DELINQUENT), 6) AS difference, round(sum(DELINQUENT) / count(*), 6) AS delinquent_pct, round(sum(p) / count(*), 6) AS predicted_delinquent_pct FROM fixed GROUP BY 1",
+        "first_splits": ", " + _SPLITS,
+        "forecast_resumed": f"SELECT CAST(r AS INTEGER) AS replicate, CASE WHEN r < 8 THEN 1 ELSE 2 END AS fitted_by_run, CAST(10 AS BIGINT) AS n_trees, count(*) AS n_scored FROM panel, range({FEW}) t(r) WHERE CAST(substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS INTEGER) > {LAST_YEAR} GROUP BY 1, 2",
+        "bootstrap_weighted": f", {_member('few', ', {weight} AS weight', 0.5, tails=True)} SELECT replicate, weight, count(DISTINCT LOAN_SEQUENCE_NUMBER) AS n_loans, CAST(sum(weight) AS BIGINT) AS n_rows, CAST(sum(weight * DELINQUENT) AS BIGINT) AS n_delinquent FROM panel JOIN few USING (LOAN_SEQUENCE_NUMBER) GROUP BY 1, 2",
         "append_dedup": "SELECT LOAN_SEQUENCE_NUMBER, CREDIT_SCORE FROM o WHERE CAST(substr(LOAN_SEQUENCE_NUMBER, 11, 1) AS INTEGER) % 2 = 0",
         "append_plain": "SELECT LOAN_SEQUENCE_NUMBER, CAST(2 * count(*) AS BIGINT) AS n FROM o GROUP BY 1",
         "orig_projection": "SELECT * FROM o",

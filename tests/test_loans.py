@@ -14,6 +14,8 @@ from tessera.plans import pipelines
 from tessera.sources import sinks, vintages
 from tessera.streaming.ingest import follow
 
+LOAN = panel.LOAN
+
 
 def line(kind, **values):
     return "|".join(values.get(c, "") for c in (ORIGINATION_COLUMNS if kind == "orig" else PERFORMANCE_COLUMNS))
@@ -175,7 +177,9 @@ def test_predictions_walk_the_trees(spark):
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(500, 3)), rng.integers(0, 2, 500)
     x[rng.random(x.shape) < 0.2] = np.nan
-    found = [(r, *t) for r in (0, 1) for t in boosting.fit_trees(x, y, np.ones(500), boosting.Params(trees=5), r)]
+    edges = [sorted(set(np.quantile(c[~np.isnan(c)], np.linspace(0, 1, 20)))) for c in x.T]
+    binned = np.stack([boosting.bins_of(c, e) for c, e in zip(x.T, edges, strict=True)], 1)
+    found = [(r, *t) for r in (0, 1) for t in boosting.fit_trees(binned, y, np.ones(500), np.arange(500), edges, boosting.Params(trees=5), r)]
     nodes = {(r, t, n): rest for r, t, n, *rest in found}
 
     def p(replicate, row):
@@ -207,3 +211,45 @@ def test_rows_to_append_are_the_same_in_every_run(spark):
     df = spark.createDataFrame([(1, x) for x in range(50)] + [(2, 7)], "k int, x int")
     got = [sorted(map(tuple, sinks.new_rows(df.repartition(n), None, ["k"]).collect())) for n in (1, 3, 7)]
     assert got[0] == got[1] == got[2] and len(got[0]) == 2
+
+
+def test_trees_grown_over_the_cluster_are_those_of_one_task(spark):
+    df = planted(spark, 1500).withColumn("replicate", F.explode(F.array(F.lit(0), F.lit(3), F.lit(7)))).where("replicate <> 3 OR abs(hash(LOAN_SEQUENCE_NUMBER)) % 3 > 0")
+    df = df.withColumn("weight", (F.abs(F.hash(LOAN, "replicate")) % 3).cast("double"))
+    params = boosting.Params(trees=4, depth=2, bins=16, seed=5)
+    model = [sorted(tuple(r) for r in boosting.fit(t, params=params, group_rows=n).collect()) for t, n in ((df, 10**9), (df, 0), (df.repartition(5), 1200))]
+    assert model[0] == model[1] == model[2]
+    assert {r[0] for r in model[0]} == {0, 3, 7} and {r[1] for r in model[0]} == set(range(4)) and max(r[2] for r in model[0]) > 2
+    assert boosting.fit(df.limit(0), params=params).count() == 0
+
+
+def test_the_best_split_is_the_same_by_windows_and_arrays(spark):
+    rng = np.random.default_rng(8)
+    rows, want, one = [], {}, 1 << 30
+    for node in range(60):
+        n = rng.integers(0, 4, (3, 6))
+        if node % 3 == 0:
+            n[:, 0] = 0
+        h = n * one // 2
+        g = rng.integers(-1, 2, n.shape) * h // (1 + node % 2)
+        g[:, 5] += g[0].sum() - g.sum(1)  # all features see the same rows
+        h[:, 5] += h[0].sum() - h.sum(1) + (n[:, 5] > 0) * 0
+        n[:, 5] = np.maximum(n[:, 5], 1)
+        h = np.maximum(h, 0)
+        for c in range(3):
+            h[c, 5] += h.sum(1).max() - h[c].sum()
+        want[node] = boosting._best(g, h, n, np.arange(3), boosting.Params())
+        rows += [(0, node, c, b, int(g[c, b]), int(h[c, b])) for c in range(3) for b in range(6) if n[c, b]]
+    found = boosting.best_splits(spark.createDataFrame(rows, "replicate int, node int, feature int, bin int, g long, h long").repartition(3), 1.0).collect()
+    got = {r.node: None if r.feature is None else (r.feature, r.bin, r.missing_left, r.a, r.b) for r in found}
+    assert got == want and sum(x is not None for x in want.values()) > 30
+
+
+def test_scores_as_expressions(spark):
+    df, params = planted(spark, 800), boosting.Params(trees=3, depth=2)
+    model = boosting.fit(df.withColumn("replicate", F.explode(F.array(F.lit(0), F.lit(1)))), params=params)
+    a, b = (boosting.score(df, model, compiled_nodes=n) for n in (0, 500))
+    assert "Python" not in b._jdf.queryExecution().executedPlan().toString() and "InPandas" in a._jdf.queryExecution().executedPlan().toString()
+    key = [LOAN, panel.MONTH]
+    both = a.join(b.withColumnRenamed("DELINQ_PROB", "q"), key)
+    assert both.count() == a.count() and both.where("abs(DELINQ_PROB - q) > 1e-12").count() == 0
