@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.schemas import ORIGINATION_COLUMNS, PERFORMANCE_COLUMNS, schema
-from ..sources.shared import new_folder  # noqa: F401
+from ..sources.shared import moved, new_folder, placed  # noqa: F401
+from ..sources.vintages import vintage_path
 
 ORIGINATION = """
 SELECT concat('L', lpad(CAST(o_orderkey AS {text}), 10, '0')) AS LOAN_SEQUENCE_NUMBER, CAST(12 * (1 + o_orderkey % 5) AS DOUBLE) AS ORIGINAL_LOAN_TERM,
@@ -48,15 +52,43 @@ def unemployment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loan_table(spark, sf_dir, UNEMPLOYMENT)
 
 
-def lines(table: DataFrame, kind: str) -> DataFrame:
+def lines(table: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Text lines (value) of a derived table as a vintage file has them; fields that the table
-    doesn't have are empty, and every fiftieth loan's lines lack their last field."""
+    doesn't have are empty, and every fiftieth loan's lines lack their last field. extra: columns to keep."""
     names = ORIGINATION_COLUMNS if kind == "orig" else PERFORMANCE_COLUMNS
     fields = [f"coalesce(CAST({c} AS STRING), '')" if c in table.columns else "''" for c in names]
     short = "CAST(substr(LOAN_SEQUENCE_NUMBER, 2) AS BIGINT) % 50 = 0"
-    return table.selectExpr(f"CASE WHEN {short} THEN concat_ws('|', {', '.join(fields[:-1])}) ELSE concat_ws('|', {', '.join(fields)}) END AS value")
+    return table.selectExpr(f"CASE WHEN {short} THEN concat_ws('|', {', '.join(fields[:-1])}) ELSE concat_ws('|', {', '.join(fields)}) END AS value", *extra)
 
 
 def parsed_columns(kind: str, table: DataFrame) -> list[str]:
     """The columns of a kind that a derived table fills."""
     return [f.name for f in schema(kind) if f.name in table.columns]
+
+
+def write_vintages(table: DataFrame, kind: str, base: str, packed: bool = False) -> list[int]:
+    """Files of a derived table's lines as a loan agency gives them out: one for each year of the first
+    payment (orig) or of the month (perf). Returns the years."""
+    spark, column = table.sparkSession, "FIRST_PAYMENT_DATE" if kind == "orig" else "MONTHLY_REPORTING_PERIOD"
+    rows = lines(table.withColumn("__year", F.substring(column, 1, 4)), kind, ("__year",))
+    folder, end = f"{base}/_{kind}-{uuid.uuid4().hex}", ".txt.gz" if packed else ".txt"
+    rows.repartition("__year").write.partitionBy("__year").option("compression", "gzip" if packed else "none").text(folder)
+    files, place = placed(spark, folder)
+    years = []
+    for part in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/__year=*/part-*")):
+        year = int(part.getPath().getParent().getName().partition("=")[2])
+        to = vintage_path(base, year, kind).removesuffix(".txt") + end
+        moved(spark, part.getPath().toString(), to)
+        years.append(year)
+    return sorted(years)
+
+
+def damage(spark: SparkSession, path: str, keep: int | None = None, add: bytes = b"") -> None:
+    """Cuts a file after `keep` bytes and adds others, as a failed transfer may."""
+    files, place = placed(spark, path)
+    content = bytes(spark.read.format("binaryFile").load(path).first().content)[:keep] + add
+    out = files.create(place, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import math
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +106,91 @@ def years(spark: SparkSession, d: str) -> DataFrame:
     return _perf(spark, d).groupBy(year_number(F.col(MONTH)).alias("year")).agg(F.count("*").alias("n_rows"))
 
 
+def _files(spark, d, kind, packed=False):
+    """Vintage files of a derived table, by Spark in a new folder: (folder, years)."""
+    base = fixtures.new_folder(spark)
+    return base, fixtures.write_vintages(_orig(spark, d) if kind == "orig" else _perf(spark, d), kind, base, packed)
+
+
+def _ingested(spark, d, kind, packed):
+    """The base table that a load of the files gives, which is stopped after three batches and repeated."""
+    base, found = _files(spark, d, kind, packed)
+    for part in (found[:3], found, found):
+        pipelines.ingest_batches(spark, base, part, kind, f"{base}/tables")
+    table = sinks.base_table(spark, f"{base}/tables", vintages.TABLES[kind])
+    return table.select(*fixtures.parsed_columns(kind, _orig(spark, d) if kind == "orig" else _perf(spark, d)))
+
+
+def ingest_orig_files(spark: SparkSession, d: str) -> DataFrame:
+    return _ingested(spark, d, "orig", packed=True)
+
+
+def ingest_perf_files(spark: SparkSession, d: str) -> DataFrame:
+    return _ingested(spark, d, "perf", packed=False)
+
+
+def ingest_broken_files(spark: SparkSession, d: str) -> DataFrame:
+    """Reports of a load with a file cut off, one with bytes that aren't UTF-8 and one that isn't there."""
+    base, found = _files(spark, d, "orig", packed=True)
+    path = {y: vintages.vintage_path(base, y, "orig") + ".gz" for y in (1996, 2000)}
+    fixtures.damage(spark, path[1996], keep=800)
+    fixtures.damage(spark, path[2000], add=gzip.compress(b"a|\xff\xfe|b\n"))
+    report = pipelines.ingest_batches(spark, base, [*found, 1901], "orig", f"{base}/tables")
+    loaded = sinks.base_table(spark, f"{base}/tables", "origination").groupBy(F.substring("FIRST_PAYMENT_DATE", 1, 4).cast("int").alias("vintage")).agg(F.count("*").alias("n_loaded"))
+    return report.drop("reason").join(loaded, "vintage", "left")
+
+
+def loads_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Batches that are repeated, that fail on their way and are loaded again, and that have other types."""
+    folder, orig = fixtures.new_folder(spark), _orig(spark, d)
+    odd = F.substring(LOAN, 11, 1).cast("int") % 2 == 1
+    sinks.load_batch(orig.where(odd), "origination", folder, 1, orig.schema)
+    failing = orig.where(~odd).withColumn("CREDIT_SCORE", F.when(F.col("CREDIT_SCORE") > 700, F.raise_error("interrupted").cast("double")).otherwise(F.col("CREDIT_SCORE")))
+    refused = 0
+    for batch in (failing, orig.withColumn("CREDIT_SCORE", F.col("CREDIT_SCORE").cast("string"))):
+        try:
+            sinks.load_batch(batch, "origination", folder, 2, orig.schema)
+        except (PySparkException, ValueError):
+            refused += 1
+    for _ in range(2):
+        sinks.load_batch(orig.where(~odd), "origination", folder, 2, orig.schema)
+    return sinks.base_table(spark, folder, "origination").groupBy("FIRST_PAYMENT_DATE").agg(F.count("*").alias("n_rows"), F.countDistinct(LOAN).alias("n_loans"), F.lit(refused).alias("n_refused"))
+
+
+def bucketed_tables(spark: SparkSession, d: str, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Loans and months in base tables by bucket, the months appended in two parts."""
+    folder, orig, perf = fixtures.new_folder(spark), _orig(spark, d), _perf(spark, d)
+    names = [f"{t}_{folder.rpartition('-')[2]}" for t in ("origination", "performance")]
+    for name, table in zip(names, (orig, perf), strict=True):
+        sinks.create_bucketed(spark, name, table.schema, f"{folder}/{name}", buckets)
+    sinks.append_bucketed(orig, names[0], buckets)
+    for part in ("<", ">="):
+        sinks.append_bucketed(perf.where(f"{MONTH} {part} '199601'"), names[1], buckets)
+    return spark.table(names[0]).hint("merge"), spark.table(names[1])
+
+
+def panel_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The panel of bucketed tables, whose months and loans meet without a shuffle; without the rates'
+    difference, whose last digits follow the order in which a mean was added up."""
+    orig, perf = bucketed_tables(spark, d)
+    return panel.build_panel(orig, perf, fixtures.unemployment(spark, d)).drop("INTEREST_RATE_DIFF")
+
+
+def panel_row_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Row groups of the stored panel by year, by its footers; a small size, so that there are some."""
+    path = fixtures.new_folder(spark)
+    sinks.write_panel(_panel(spark, d), path, row_group=1000)
+    groups = sinks.row_groups(spark, path).withColumn("year", F.regexp_extract("file", r"REPORTING_YEAR=(\d+)", 1))
+    return groups.groupBy("year").agg(F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_groups"), F.count_if(F.col("n_rows") == 1000).alias("n_full"))
+
+
+def validation_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the later months by the footers of their years' files."""
+    path = fixtures.new_folder(spark)
+    sinks.write_panel(_panel(spark, d), path)
+    return sinks.stored_rows(spark, path, f"REPORTING_YEAR > {LAST_YEAR}")
+
+
 def base_table_export(spark: SparkSession, d: str) -> DataFrame:
     """Two loads of the same loans into the base table, and its export."""
     folder = fixtures.new_folder(spark)
@@ -232,7 +319,7 @@ def bootstrap_membership(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bootstrap_rows(spark: SparkSession, d: str) -> DataFrame:
-    p = _panel(spark, d)
+    p = written(_panel(spark, d).select(LOAN, "DELINQUENT"), "panel")
     rows = sampling.sampled_rows(p, sampling.membership(sampling.loans(p), REPLICATES, FRACTION, seed=7, portable=True))
     return rows.groupBy("replicate").agg(F.count("*").alias("n_rows"), F.countDistinct(LOAN).alias("n_loans"), F.sum("DELINQUENT").alias("n_delinquent"))
 
@@ -308,8 +395,9 @@ def _published(spark, d, report=None):
     """Two runs of the same scores, the second one inserted again; its table, losses and monthly series."""
     folder = fixtures.new_folder(spark)
     table = "prediction_" + folder.rpartition("-")[2]
+    scores = written(_fixed_scores(spark, d), "scores")
     for run in (1, 2, 2):
-        out = pipelines.publish(_fixed_scores(spark, d), run, table, folder, report)
+        out = pipelines.publish(scores, run, table, folder, report)
     return table, *out
 
 
@@ -345,7 +433,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         label_delinquent, join_perf_orig_left, avg_rate_by_month, join_avg_rate, join_unemp_inner, rate_diff, origination_year_month, panel_full, panel_drop_sparse, loans_per_month, null_profile,
         unique_loans, split_train, split_validation, validation_count, head_5000, bootstrap_membership, bootstrap_rows, log_loss, brier_score, monthly_calibration, monthly_delinquency, model_fit,
         ensemble_score, forecast_eval, unemp_written, ingest_key_check, years, base_table_export, base_table_appended, panel_written, preview, score_fixed_model, predictions_read_back, prediction_runs,
-        forecast_losses, forecast_monthly, first_splits, forecast_resumed, bootstrap_weighted,
+        forecast_losses, forecast_monthly, first_splits, forecast_resumed, bootstrap_weighted, ingest_orig_files, ingest_perf_files,
+        ingest_broken_files, loads_whole, panel_bucketed, panel_row_groups, validation_rows,
     )
 }
 
@@ -418,6 +507,15 @@ ORACLES = {
         "prediction_runs": "SELECT CAST(r AS INTEGER) AS run_id, count(*) AS n_rows FROM fixed, range(1, 3) t(r) GROUP BY 1",
         "forecast_losses": "SELECT round(avg(-(DELINQUENT * ln(p) + (1 - DELINQUENT) * ln(1 - p))), 6) AS log_loss, round(avg((p - DELINQUENT) * (p - DELINQUENT)), 6) AS brier_score, count(*) AS n_rows, 0 AS n_extreme FROM fixed",
         "forecast_monthly": "SELECT MONTHLY_REPORTING_PERIOD, CAST(sum(DELINQUENT) AS BIGINT) AS total_delinquent, round(sum(p), 6) AS predicted_delinquent, round(sum(p) - sum(DELINQUENT), 6) AS difference, round(sum(DELINQUENT) / count(*), 6) AS delinquent_pct, round(sum(p) / count(*), 6) AS predicted_delinquent_pct FROM fixed GROUP BY 1",
+        "ingest_orig_files": f"SELECT * FROM o WHERE {_GOOD}",
+        "ingest_perf_files": f"SELECT * REPLACE (coalesce(CURRENT_LOAN_DELINQUENCY_STATUS, '') AS CURRENT_LOAN_DELINQUENCY_STATUS) FROM p WHERE {_GOOD}",
+        "ingest_broken_files": f"""SELECT vintage, CASE WHEN vintage IN (1996, 2000) THEN 'broken' ELSE 'loaded' END AS state, CASE WHEN vintage NOT IN (1996, 2000) THEN n_rows END AS n_rows,
+CASE WHEN vintage NOT IN (1996, 2000) THEN n_rejected END AS n_rejected, CASE WHEN vintage NOT IN (1996, 2000) AND n_rows > 0 THEN n_rows END AS n_loaded
+FROM (SELECT CAST(substr(FIRST_PAYMENT_DATE, 1, 4) AS INTEGER) AS vintage, count(*) FILTER ({_GOOD}) AS n_rows, count(*) FILTER (NOT ({_GOOD})) AS n_rejected FROM o GROUP BY 1) UNION ALL SELECT 1901, 'missing', NULL, NULL, NULL""",
+        "loads_whole": "SELECT FIRST_PAYMENT_DATE, count(*) AS n_rows, count(DISTINCT LOAN_SEQUENCE_NUMBER) AS n_loans, 2 AS n_refused FROM o GROUP BY 1",
+        "panel_bucketed": "SELECT * EXCLUDE (ESTIMATED_LOAN_TO_VALUE, INTEREST_RATE_DIFF) FROM panel",
+        "panel_row_groups": "SELECT year, n AS n_rows, (n + 999) // 1000 AS n_groups, n // 1000 AS n_full FROM (SELECT substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS year, count(*) AS n FROM panel GROUP BY 1)",
+        "validation_rows": f"SELECT count(*) AS n_rows FROM panel WHERE CAST(substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS INTEGER) > {LAST_YEAR}",
         "first_splits": ", " + _SPLITS,
         "forecast_resumed": f"SELECT CAST(r AS INTEGER) AS replicate, CASE WHEN r < 8 THEN 1 ELSE 2 END AS fitted_by_run, CAST(10 AS BIGINT) AS n_trees, count(*) AS n_scored FROM panel, range({FEW}) t(r) WHERE CAST(substr(MONTHLY_REPORTING_PERIOD, 1, 4) AS INTEGER) > {LAST_YEAR} GROUP BY 1, 2",
         "bootstrap_weighted": f", {_member('few', ', {weight} AS weight', 0.5, tails=True)} SELECT replicate, weight, count(DISTINCT LOAN_SEQUENCE_NUMBER) AS n_loans, CAST(sum(weight) AS BIGINT) AS n_rows, CAST(sum(weight * DELINQUENT) AS BIGINT) AS n_delinquent FROM panel JOIN few USING (LOAN_SEQUENCE_NUMBER) GROUP BY 1, 2",

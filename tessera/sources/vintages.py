@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_period, month_number, number, period, stripped
-from ..functions.schemas import STATES, SUFFIX, schema
+from ..functions.schemas import STATES, SUFFIX, TABLES, schema
+from . import sinks
+from .shared import exists, placed, removed
 
 
 def vintage_path(base: str, year: int, kind: str) -> str:
@@ -19,28 +23,58 @@ def vintage_path(base: str, year: int, kind: str) -> str:
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files, place = placed(spark, path)
     try:
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place).close()
+        files.open(place).close()
     except Py4JJavaError:
         return False
     return True
 
 
-def read_lines(spark: SparkSession, base: str, years: Iterable[int], kind: str, on_missing: str = "warn") -> DataFrame:
-    """Lines (value, vintage) of many years in one scan. A file that isn't there or can't be opened
+def vintage_files(spark: SparkSession, base: str, years: Iterable[int], kind: str, on_missing: str = "warn") -> dict[int, str]:
+    """The years' files, plain or packed (.gz after the name). A file that isn't there or can't be opened
     is left out with a warning, or raises FileNotFoundError with on_missing="raise"."""
-    found = []
-    for path in (vintage_path(base, y, kind) for y in years):
-        if _readable(spark, path):
-            found.append(path)
+    found = {}
+    for year in years:
+        path = vintage_path(base, year, kind)
+        here = next((p for p in (path, f"{path}.gz") if _readable(spark, p)), None)
+        if here:
+            found[year] = here
         elif on_missing == "raise":
             raise FileNotFoundError(path)
         else:
-            warnings.warn(f"no file that can be read: {path}", stacklevel=2)
-    if not found:
+            warnings.warn(f"no file that can be read: {path}", stacklevel=3)
+    return found
+
+
+def _lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    if not (paths := list(paths)):
         return spark.createDataFrame([], "value string, vintage int")
-    return spark.read.text(found).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.txt$", 1).try_cast("int").alias("vintage"))
+    return spark.read.text(paths).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.txt(?:\.gz)?$", 1).try_cast("int").alias("vintage"))
+
+
+def read_lines(spark: SparkSession, base: str, years: Iterable[int], kind: str, on_missing: str = "warn") -> DataFrame:
+    """Lines (value, vintage) of many years in one scan; files as of vintage_files()."""
+    return _lines(spark, vintage_files(spark, base, years, kind, on_missing).values())
+
+
+def broken_files(spark: SparkSession, files: dict[int, str]) -> dict[int, str]:
+    """Which of the files (by vintage) can't be read to their end, and why. All are read by one job;
+    only if it fails are halves of them read on their own, and so on: a few jobs for each broken
+    file, however many others there are."""
+    if not files:
+        return {}
+    try:
+        _lines(spark, files.values()).agg(F.sum(F.octet_length("value"))).collect()
+    except (PySparkException, Py4JJavaError) as e:
+        if len(files) == 1:
+            text = str(e)
+            reason = re.search(r"(?:Caused by: )?(\w+(?:\.\w+)*(?:Exception|Error)): ([^\n]*)\Z|\[(FAILED_READ_FILE[^\]]*)\]", text)
+            return {y: (reason[0] if reason else text.split("\n")[0])[:200] for y in files}
+        years = list(files)
+        half = len(years) // 2
+        return {k: v for part in (years[:half], years[half:]) for k, v in broken_files(spark, {y: files[y] for y in part}).items()}
+    return {}
 
 
 def _fields(lines: DataFrame) -> DataFrame:
@@ -52,12 +86,63 @@ def parse(lines: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame
     """Typed rows of the lines in column value with the right number of fields. Fields are
     stripped; an empty text stays empty, a number that can't be read is null. `extra`: further
     columns of lines to keep."""
+    return _typed(_fields(lines), kind, extra)
+
+
+def _typed(rows: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame:
     fields = schema(kind)
-    good = _fields(lines).where(F.size("__f") == len(fields))
+    good = rows.where(F.size("__f") == len(fields))
     at = lambda i: F.col("__f")[i]
     return good.select(*[(number(at(i)) if f.dataType.simpleString() == "double" else at(i)).alias(f.name) for i, f in enumerate(fields)], *extra)
 
 
+REPORT = "vintage int, state string, n_rows long, n_rejected long, reason string"
+
+
+def load_vintages(spark: SparkSession, base: str, years: Iterable[int], kind: str, folder: str, batch: int | str, on_missing: str = "warn", dedup_keys: list[str] | None = None) -> DataFrame:
+    """Loads the years' files into their base table as one batch (sinks.load_batch) and returns a
+    report, a row for each year: state ("loaded", "missing", "broken"), n_rows, n_rejected (lines with
+    another number of fields), reason.
+
+    A file that breaks while it is read (truncated, damaged), or has bytes that aren't UTF-8, costs its
+    own rows only: nothing of it is loaded. Counts come from the write itself, which is the only scan
+    where all files are sound; broken files are looked for when it fails, and it is repeated
+    without them. With on_missing="raise", missing and broken files raise. A batch that the table
+    has already isn't loaded again; its report has the state "held"."""
+    years, name = list(years), TABLES[kind]
+    if exists(spark, f"{folder}/{name}/batch={batch}"):
+        return spark.createDataFrame([(y, "held", None, None, None) for y in years], REPORT)
+    files = vintage_files(spark, base, years, kind, on_missing)
+    held = sinks.base_table(spark, folder, name) if exists(spark, f"{folder}/{name}") else None
+    broken: dict[int, str] = {}
+    while True:
+        sound = {y: p for y, p in files.items() if y not in broken}
+        rows, good, seen = _fields(_lines(spark, sound.values())), F.size("__f") == len(schema(kind)), Observation()
+        of = lambda y: F.col("vintage") == y
+        counts = [x for y in sound for x in (F.count_if(of(y) & good).alias(f"rows_{y}"), F.count_if(of(y) & ~good).alias(f"rejected_{y}"), F.count_if(of(y) & ~F.is_valid_utf8("value")).alias(f"invalid_{y}"))]
+        observed = rows.observe(seen, *counts) if counts else rows
+        try:
+            path = sinks.staged(sinks.new_rows(_typed(observed, kind), held, dedup_keys), name, folder)
+        except (PySparkException, Py4JJavaError):
+            if on_missing == "raise" or not (found := broken_files(spark, sound)):
+                raise
+            broken |= found
+            continue
+        got = seen.get if counts else {}
+        invalid = {y: "bytes that aren't UTF-8" for y in sound if got[f"invalid_{y}"]}
+        if not invalid:
+            break
+        removed(spark, path)
+        if on_missing == "raise":
+            raise ValueError(f"bytes that aren't UTF-8: {[files[y] for y in invalid]}")
+        broken |= invalid
+    sinks.commit_batch(spark, path, name, folder, batch)
+    for y in broken:
+        warnings.warn(f"left out, as it can't be read: {files[y]} ({broken[y]})", stacklevel=2)
+    report = [(y, "broken", None, None, broken[y]) if y in broken else (y, "loaded", got[f"rows_{y}"], got[f"rejected_{y}"], None) if y in files else (y, "missing", None, None, None) for y in years]
+    return spark.createDataFrame(report, REPORT)
+
+
 def quarantine(lines: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """The other lines: their number of fields and first 50 characters."""
     bad = _fields(lines).where(F.size("__f") != len(schema(kind)))

@@ -1,6 +1,8 @@
 """The traps of the loan files, sinks, sampling, metrics and models, on small tables."""
 
+import gzip
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import delinquent, number, prepaid, stripped, year_number
 from tessera.functions.schemas import FEATURES, ORIGINATION_COLUMNS, PERFORMANCE_COLUMNS, schema
 from tessera.operators import boosting, metrics, panel, sampling
-from tessera.plans import pipelines
+from tessera.plans import pipelines, queries
 from tessera.sources import sinks, vintages
 from tessera.streaming.ingest import follow
 
@@ -153,14 +155,6 @@ def test_stripped(spark):
     assert spark.createDataFrame([("  a b\t",)], "x string").select(stripped(F.col("x"))).first()[0] == "a b"
 
 
-def test_predictions_replace_their_run(spark, tmp_path):
-    df = spark.createDataFrame([("L1", "200001", 1, 0.5)], "LOAN_SEQUENCE_NUMBER string, MONTHLY_REPORTING_PERIOD string, DELINQUENT int, DELINQ_PROB double")
-    for run in (1, 1, 2):
-        sinks.write_predictions(df, f"{tmp_path}/prediction", run)
-    assert spark.read.parquet(f"{tmp_path}/prediction").count() == 2
-    assert "PARTITIONED BY (run_id)" in sinks.prediction_ddl()
-
-
 def test_table_of_predictions_outlives_its_catalog_entry(spark, tmp_path):
     df = spark.createDataFrame([("L1", "200001", 1, 0.5), ("L2", "200002", 0, 0.25)], "LOAN_SEQUENCE_NUMBER string, MONTHLY_REPORTING_PERIOD string, DELINQUENT int, DELINQ_PROB double")
     for run in (1, 2, 2):
@@ -253,3 +247,146 @@ def test_scores_as_expressions(spark):
     key = [LOAN, panel.MONTH]
     both = a.join(b.withColumnRenamed("DELINQ_PROB", "q"), key)
     assert both.count() == a.count() and both.where("abs(DELINQ_PROB - q) > 1e-12").count() == 0
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_months_and_loans_of_bucketed_tables_join_without_a_shuffle(spark):
+    orig, perf = queries.bucketed_tables(spark, SF, 4)
+    plan = panel.join_loans(panel.performance_columns(perf), panel.origination_columns(orig))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("SelectedBucketsCount: 4 out of 4") == 2
+    assert len({f.rpartition("/")[2] for f in perf.inputFiles()}) == 8  # two appends, a file for each bucket
+    with pytest.raises(ValueError, match="LOAN_AGE"):
+        sinks.append_bucketed(perf.drop("LOAN_AGE"), "performance_" + perf.inputFiles()[0].split("loans-")[1].split("/")[0], 4)
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    rows = spark.range(5000).select(F.concat(F.lit("L"), "id").alias(LOAN), F.when(F.col("id") < 1200, "199901").otherwise("200002").alias(panel.MONTH))
+    sinks.write_panel(rows.repartition(7), f"{tmp_path}/panel", row_group=500, groups_a_file=4)
+    got = sinks.stored_rows(spark, f"{tmp_path}/panel", "REPORTING_YEAR > 1999")
+    assert got.first().n_rows == 3800
+    assert "PushedAggregation: [COUNT(*)]" in got._jdf.queryExecution().executedPlan().toString().replace("PushedAggregates", "PushedAggregation")
+    groups = [tuple(r) for r in sinks.row_groups(spark, f"{tmp_path}/panel").select("file", "row_group", "n_rows").collect()]
+    files = {f for f, _, _ in groups}
+    last = {f: max(i for g, i, _ in groups if g == f) for f in files}
+    assert all(n == 500 for f, i, n in groups if i < last[f]) and sum(n for *_, n in groups) == 5000
+    assert len(files) == 3  # 1200 rows; 3800 rows of at most 2000 a file
+    sinks.write_panel(rows, f"{tmp_path}/flat", by_year=False)
+    assert spark.read.parquet(f"{tmp_path}/flat").count() == 5000
+
+
+def test_a_batch_is_there_as_a_whole_or_not_at_all(spark, tmp_path):
+    folder, df = str(tmp_path), spark.range(100).select(F.concat(F.lit("L"), "id").alias(LOAN), F.col("id").cast("double").alias("x"))
+    failing = df.withColumn("x", F.when(F.col("x") == 99, F.raise_error("broken").cast("double")).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.load_batch(failing, "origination", folder, 1)
+    assert not (tmp_path / "origination").exists() and not list((tmp_path / "_staged").glob("*"))
+    assert sinks.load_batch(df, "origination", folder, 1) and not sinks.load_batch(df, "origination", folder, 1)
+    assert sinks.load_batch(df.withColumn("x", F.col("x") + 1), "origination", folder, "b", dedup_keys=[LOAN])
+    assert sinks.base_table(spark, folder, "origination").columns == [LOAN, "x"] and sinks.base_table(spark, folder, "origination").count() == 100
+    # two loads of one batch at once: the second one finds it and goes
+    assert not sinks.commit_batch(spark, sinks.staged(df, "origination", folder), "origination", folder, 1)
+    assert sinks.base_table(spark, folder, "origination").count() == 100 and not list((tmp_path / "_staged").glob("*"))
+    for other in (df.withColumn("x", F.col("x").cast("string")), df.drop("x"), df.withColumn("y", F.lit(1))):
+        with pytest.raises(ValueError, match="other columns"):
+            sinks.load_batch(other, "origination", folder, 2)
+    with pytest.raises(ValueError):
+        sinks.load_batch(df, "other", folder, 1)
+    sinks.append_table(df, "performance", folder)
+    with pytest.raises(ValueError, match="x "):
+        sinks.append_table(df.withColumn("x", F.col("x").cast("int")), "performance", folder)
+
+
+def test_a_null_key_is_appended_once(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
+    assert sinks.new_rows(df, df, ["k"]).count() == 0 and sinks.new_rows(df, df.limit(0), ["k"]).count() == 2
+
+
+def packed(path, text):
+    path.parent.mkdir(exist_ok=True, parents=True)
+    path.write_bytes(gzip.compress(text if isinstance(text, bytes) else text.encode()))
+    return path
+
+
+@pytest.fixture
+def vintage_base(tmp_path):
+    """Five years' files: sound, cut off, not UTF-8, empty, and one that is no gzip at all; 2005 is missing."""
+    text = "".join(line("orig", LOAN_SEQUENCE_NUMBER=f"L{i}", SELLER_NAME=str(i * i)) + "\n" for i in range(3000)) + "short|line\n"
+    name = lambda y: tmp_path / f"sample_{y}" / f"sample_orig_{y}.txt.gz"
+    packed(name(2000), text)
+    cut = packed(name(2001), text)
+    cut.write_bytes(cut.read_bytes()[:-200])
+    packed(name(2002), b"a|b\xff\xfe\n" + text.encode())
+    packed(name(2003), "")
+    name(2004).parent.mkdir()
+    name(2004).write_bytes(b"not packed\n" * 10)
+    return tmp_path
+
+
+def test_broken_files_cost_their_own_rows_only(spark, vintage_base):
+    base, folder = str(vintage_base), f"{vintage_base}/tables"
+    with pytest.warns(UserWarning):
+        got = {r.vintage: r for r in pipelines.ingest_batches(spark, base, range(2000, 2006), "orig", folder, at_a_time=6).collect()}
+    assert {y: (r.state, r.n_rows, r.n_rejected) for y, r in got.items()} == {
+        2000: ("loaded", 3000, 1), 2001: ("broken", None, None), 2002: ("broken", None, None), 2003: ("loaded", 0, 0), 2004: ("broken", None, None), 2005: ("missing", None, None),
+    }
+    assert all(got[y].reason for y in (2001, 2002, 2004)) and "UTF-8" in got[2002].reason
+    assert sinks.base_table(spark, folder, "origination").count() == 3000
+    assert not list((vintage_base / "tables" / "_staged").glob("*"))
+    again = pipelines.ingest_batches(spark, base, range(2000, 2006), "orig", folder, at_a_time=6)
+    assert {r.state for r in again.collect()} == {"held"} and sinks.base_table(spark, folder, "origination").count() == 3000
+
+
+@pytest.mark.parametrize("years", [[2000, 2001], [2000, 2002], [2005]])
+def test_broken_and_missing_files_raise_if_asked(spark, vintage_base, years):
+    with pytest.raises((Exception, FileNotFoundError)):
+        vintages.load_vintages(spark, str(vintage_base), years, "orig", f"{vintage_base}/tables", 1, on_missing="raise")
+    assert not (vintage_base / "tables" / "origination").exists()
+
+
+def test_sound_files_are_scanned_once(spark, vintage_base):
+    before = spark.sparkContext.statusTracker()
+    group = "scans"
+    spark.sparkContext.setJobGroup(group, group)
+    report = vintages.load_vintages(spark, str(vintage_base), [2000, 2003], "orig", f"{vintage_base}/tables", 1)
+    jobs = before.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1 and sorted(tuple(r)[:4] for r in report.collect()) == [(2000, "loaded", 3000, 1), (2003, "loaded", 0, 0)]
+
+
+def test_weighted_draws(spark):
+    ids = spark.range(20_000).select(F.concat(F.lit("L"), "id").alias(LOAN))
+    got = sampling.membership(ids, 10, 0.5, seed=3, weighted=True)
+    plain = sampling.membership(ids, 10, 0.5, seed=3)
+    assert got.select(LOAN, "replicate").exceptAll(plain).isEmpty() and got.count() == plain.count()
+    counts = {r.weight: r["count"] for r in got.groupBy("weight").count().collect()}
+    for k in (1, 2, 3):
+        assert counts[k] == pytest.approx(200_000 * math.exp(-0.5) * 0.5**k / math.factorial(k), rel=0.05)
+    assert max(counts) >= 5 and sampling.poisson_tails(0.01)[0] == pytest.approx(1 - math.exp(-0.01))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_goes_on_where_it_was_stopped(spark, tmp_path):
+    df, folder = planted(spark, 1000), str(tmp_path)
+    run = pipelines.Forecast(1999, 5, 0.5, 1, params=boosting.Params(trees=3, depth=2), at_a_time=2)
+    path = pipelines.train(df, folder, run, at_most=1)
+    assert boosting.fitted(spark, path) == {0, 1}
+    first = {f: f.stat().st_mtime_ns for f in tmp_path.glob("model-*/replicate=[01]/*.parquet")}
+    assert pipelines.train(df, folder, run) == path and boosting.fitted(spark, path) == set(range(5))
+    assert {f: f.stat().st_mtime_ns for f in tmp_path.glob("model-*/replicate=[01]/*.parquet")} == first
+    whole = boosting.read_model(spark, pipelines.train(df, f"{folder}/other", replace(run, at_a_time=5)))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, boosting.read_model(spark, path).collect()))
+    assert pipelines.train(df, folder, replace(run, seed=2), at_most=0) != path  # other settings, another model
+    got = pipelines.forecast(df, 1999, 5, 0.5, 1, params=run.params, folder=f"{folder}/third")
+    assert got.count() == panel.split_by_year(df, 1999)[1].count()
+
+
+def test_files_of_every_kind_are_parsed_alike(spark, tmp_path):
+    text = line("perf", LOAN_SEQUENCE_NUMBER="L1", LOAN_AGE="3") + "\n"
+    for y, end in ((2000, ".txt"), (2001, ".txt.gz")):
+        path = tmp_path / f"sample_{y}" / f"sample_svcg_{y}{end}"
+        path.parent.mkdir()
+        path.write_bytes(gzip.compress(text.encode()) if end.endswith("gz") else text.encode())
+    got = vintages.parse(vintages.read_lines(spark, str(tmp_path), [2000, 2001], "perf"), "perf", ("vintage",)).select("vintage", "LOAN_AGE").collect()
+    assert sorted(map(tuple, got)) == [(2000, 3.0), (2001, 3.0)]
