@@ -155,6 +155,27 @@ def _holds_pre(node: Node) -> bool:
     return False
 
 
+def _taken(held: list[tuple[int, int, int]], new: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Intervals of columns in their order after new ones took their place; neighbours that end with one row are one."""
+    parts, k = [], 0
+    for first, end, row in held:
+        while k < len(new) and new[k][1] <= first:
+            k += 1
+        for cut, after, _ in itertools.takewhile(lambda x: x[0] < end, new[k:]):
+            if first < cut:
+                parts.append((first, cut, row))
+            first = max(first, after)
+        if first < end:
+            parts.append((first, end, row))
+    out = []
+    for x in sorted(parts + new):
+        if out and out[-1][1] == x[0] and out[-1][2] == x[2]:
+            out[-1] = (out[-1][0], *x[1:])
+        else:
+            out.append(x)
+    return out
+
+
 def _table(node: Node, depth: int, shown: bool) -> list[str]:
     """Rows of cells, each column as wide as its widest cell of one column. Cells of several rows
     stand in the first and leave their columns empty in the others; preformatted cells keep their lines."""
@@ -189,20 +210,21 @@ def _table(node: Node, depth: int, shown: bool) -> list[str]:
             rows.append(cells)
         else:  # stands in front of the table
             captions.append(" ".join(render(n, depth + 1, shown).split("\n")))
-    widths, placed, held = {}, [], {}  # held: by column, the rows below that a cell of several rows still takes
-    for cells in rows:
-        at, row = 0, []
+    widths, placed, held = {}, [], []  # held: columns (first, end, row) that a cell of several rows takes up to a row
+    for r, cells in enumerate(rows):
+        held = [x for x in held if x[2] > r] if any(x[2] <= r for x in held) else held
+        at, row, taken, k = 0, [], [], 0
         for lines, span, down in cells:
-            while held.get(at):
-                at += 1
+            while k < len(held) and held[k][0] <= at:
+                at, k = max(at, held[k][1]), k + 1
             row.append((at, span, lines))
             if span == 1:
                 widths[at] = max(widths.get(at, 0), max(map(len, lines)))
-            if down > 1:
-                held |= {i: down for i in range(at, at + span)}
+            if down > 1 and r + 1 < len(rows):
+                taken.append((at, at + span, min(r + down, len(rows))))
             at += span
         placed.append(row)
-        held = {i: n - 1 for i, n in held.items() if n > 1}
+        held = _taken(held, taken) if taken else held
     order = sorted(widths)
     begin = dict(zip(order, itertools.accumulate([widths[x] + 3 for x in order], initial=0), strict=False))
     out = [c for c in captions if c]

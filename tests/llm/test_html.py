@@ -93,3 +93,49 @@ def test_work_and_output_stay_in_proportion():
         began = time.time()
         text(piece * 40_000 + "<p>x")
         assert time.time() - began < 2, piece
+
+
+def test_cells_of_several_rows_over_many_rows():
+    """Placement against one that keeps every column of every row, and work in proportion to the page."""
+    import random
+    import time
+
+    from tessera.llm.html import _taken
+
+    def slow(rows):
+        held, out = {}, []
+        for cells in rows:
+            at, places = 0, []
+            for span, down in cells:
+                while held.get(at):
+                    at += 1
+                places.append(at)
+                if down > 1:
+                    held |= {i: down for i in range(at, at + span)}
+                at += span
+            held = {i: n - 1 for i, n in held.items() if n > 1}
+            out.append(places)
+        return out
+
+    def fast(rows):
+        held, out = [], []
+        for r, cells in enumerate(rows):
+            held, at, k, taken, places = [x for x in held if x[2] > r], 0, 0, [], []
+            for span, down in cells:
+                while k < len(held) and held[k][0] <= at:
+                    at, k = max(at, held[k][1]), k + 1
+                places.append(at)
+                if down > 1:
+                    taken.append((at, at + span, min(r + down, len(rows))))
+                at += span
+            held = _taken(held, taken) if taken else held
+            out.append(places)
+        return out
+
+    rng = random.Random(2)
+    for _ in range(300):
+        rows = [[(rng.choice([1, 1, 2, 5]), rng.choice([1, 1, 2, 3, 9])) for _ in range(rng.randint(0, 5))] for _ in range(rng.randint(1, 9))]
+        assert fast(rows) == slow(rows)
+    page = "<table><tr>" + "<td colspan=1000 rowspan=65534>x</td>" * 200 + "</tr>" + "<tr><td>a</td></tr>" * 2000 + "</table>"
+    began = time.process_time()
+    assert render(parse(page)).count("\n") == 2000 and time.process_time() - began < 5
