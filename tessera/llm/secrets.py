@@ -4,6 +4,7 @@ for values that stand in a credential context."""
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -21,9 +22,11 @@ KINDS = ("assign", "access", "hex", "guess")
 
 # Words around a credential, in the languages of the corpus, and what joins them to a value. The value is looked ahead for, so every keyword is tried.
 CONTEXT = re.compile(
-    r"""(?ai:(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|auth(?:orization)?|bearer|credentials?|login|kennwort|passwort|contrase(?:n|ñ)a|clave|mot de passe)(?![a-z]))"""
+    r"""(?ai:(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|auth(?:orization)?|bearer|credentials?|login|kennwort|passwort|contrase(?:n|ñ)a|clave|mot de passe)(?:[_-][a-z0-9]+)*(?![a-z]))"""
     r"""(?=["']?(?:\x20*(?:[:=]|=>|\x20is\x20)\x20*|\x20+)["']?([^\x20\x09-\x0D"']{8,}))"""
 )
+# A user's value in an address.
+ADDRESS = re.compile(r"""://[^\x20\x09-\x0D"'/:@]*:([^\x20\x09-\x0D"'/@]{8,})@""")
 # Keyboard rows, whose runs are cheap to guess.
 WALKS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop", "abcdefghijklmnopqrstuvwxyz", "1qaz2wsx3edc")
 # Words that passwords are often made of, the most frequent first.
@@ -106,8 +109,12 @@ def guess_bits(value: str, words: tuple[str, ...] = COMMON, limit: float = math.
 
 
 def _worth(value: str) -> bool:
-    """Letters with digits, or with two signs at least: what prose after a keyword hardly is."""
-    return any(c.isalpha() for c in value) and (any(c.isdigit() for c in value) or sum(c in SIGNS for c in value) >= 2)
+    """Letters with digits, with two signs at least, or with capitals after small letters in two
+    places: what prose after a keyword hardly is."""
+    if not any(c.isalpha() for c in value):
+        return False
+    turns = sum(a.islower() and b.isupper() for a, b in zip(value, value[1:], strict=False))
+    return any(c.isdigit() for c in value) or sum(c in SIGNS for c in value) >= 2 or turns >= 2
 
 
 def find_spans(text: str, least_bits: float = 45.0, words: tuple[str, ...] = COMMON) -> list[tuple[str, int, int]]:
@@ -120,9 +127,9 @@ def find_spans(text: str, least_bits: float = 45.0, words: tuple[str, ...] = COM
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS] if "AKIA" in text else []
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     fixed, guesses = [x for x in found if x[0] != "assign"], {}
-    for m in CONTEXT.finditer(text):
+    for m in itertools.chain(CONTEXT.finditer(text), ADDRESS.finditer(text) if "://" in text else ()):
         start = m.start(1)
-        value = m[1].rstrip(".,;:!?)]}>")
+        value = m[1].rstrip(".,;:!?)]}>") if m.re is CONTEXT else m[1]
         end = start + len(value)
         if end not in guesses and len(value) >= 8 and _worth(value) and not any(s <= start and end <= e for _, s, e in fixed) and guess_bits(value, words, least_bits) >= least_bits:
             guesses[end] = ("guess", start, end)
@@ -149,7 +156,8 @@ def scan(docs: DataFrame, least_bits: float = 45.0, words: tuple[str, ...] = COM
 
 
 def redacted(docs: DataFrame, mask: str = "[secret]", text_col: str = "text", **options) -> DataFrame:
-    """docs with every secret's span replaced by mask; overlapping spans are replaced once."""
+    """docs with every secret's span replaced by mask; overlapping spans are replaced once. A null
+    text stays null; rows are independent, repeated ones too; an empty table stays empty."""
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:

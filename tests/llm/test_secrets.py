@@ -169,3 +169,12 @@ def test_report_nulls_long_and_clashing_columns(spark):
     assert scan(df).columns == ["doc_id", "text", "secrets"]
     assert secret_report(df.limit(0)).count() == 0
     assert redacted(df).where("doc_id = 3").first().text == "é [secret]"
+
+
+def test_values_of_letters_names_around_keywords_and_addresses():
+    found = lambda t: [t[s:e] for k, s, e in find_spans(t) if k == "guess"]
+    assert found("password: zQvxkjwpLmTrBghsNc") == ["zQvxkjwpLmTrBghsNc"]
+    assert found("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENGbPxRfiCY") == ["wJalrXUtnFEMIK7MDENGbPxRfiCY"]
+    assert found("see mysql://root:tR9vQx2LmPz@host/db") == ["tR9vQx2LmPz"]
+    for clean in ("Password: Extraordinary things", "the secret is Constantinople", "https://example.org:8080/a@b", "token: JavaScript", "http://a:b@c"):
+        assert found(clean) == []
