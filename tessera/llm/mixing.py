@@ -74,7 +74,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     first .. last-1 of a document, read by that shard.
     """
     spark = docs.sparkSession
-    sizes = keyed(docs).select("__key", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    sizes = keyed(docs.select("doc_id", "source", "text")).select("__key", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     sizes = written(sizes.select(F.struct("__key", nth_of_key().alias("n")).alias("__row"), "source", "size"), "sizes")
     sources = written(targets(sizes, weights, share, cap), "sources")
     buckets = F.pmod(F.xxhash64("__row"), F.ceil(F.col("docs") / bucket_docs)).alias("bucket")
@@ -133,9 +133,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     read = read.groupBy("__key").agg(F.collect_list("r").alias("__reads"))  # a few for each repeated row
     words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     part = F.array_join(F.flatten(F.transform("__r.read", lambda p: F.slice("__words", (p["first"] + 1).cast("int"), (p["last"] - p["first"]).cast("int")))), "")
-    out = keyed(docs).join(read, "__key").withColumn("__n", nth_of_key())
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")  # the caller's columns, whatever their names
+    out = keyed(docs.select("doc_id", "source", "text", row)).join(read, "__key").withColumn("__n", nth_of_key())
     out = out.withColumn("__r", F.explode(F.filter("__reads", lambda r: r["n"] == F.col("__n")))).withColumn("__words", F.when(~F.col("__r.whole"), words))
     out = out.withColumn("text", F.when(F.col("__r.whole"), F.col("text")).otherwise(part))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    new = {"text": F.col("text")} | ({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return out.select(*[new.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])

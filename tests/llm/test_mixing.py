@@ -100,3 +100,11 @@ def test_small(spark, rows):
     got = mix_report(table(spark, rows)).collect()
     assert len(got) == len(rows)
     mixed_documents(table(spark, rows)).collect()
+
+
+def test_columns_of_any_name_come_back(spark):
+    names = "__reads __key __n __r __words __row sid size target row shard block first last".split()
+    df = spark.createDataFrame([(i, "a few words " * i, "s", *range(len(names))) for i in range(40)], "doc_id long, text string, source string, " + ", ".join(f"{c} long" for c in names))
+    got = mixed_documents(df)
+    assert got.columns == df.columns and {tuple(r[c] for c in names) for r in got.collect()} == {tuple(range(len(names)))}
+    assert mix_report(df).count() == 40
