@@ -479,7 +479,7 @@ _SPLITS = f"""{_member("few", "", 0.2)}, value AS (
 ), gain AS (SELECT side.*, g::DOUBLE AS g, h::DOUBLE AS h, a * a / (b + 1) + (g - a) * (g - a) / (h - b + 1) - g * g / (h + 1) AS gain FROM side JOIN total USING (replicate) WHERE b >= 1 AND h - b >= 1
 ), best AS (SELECT * FROM gain WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY replicate ORDER BY gain DESC, feature, missing_left DESC, bin) = 1)
 SELECT replicate, 0 AS node, CAST(feature AS INTEGER) AS feature, e AS threshold, missing_left AS default_left, CAST(0 AS DOUBLE) AS leaf FROM best
-UNION ALL SELECT replicate, 1, -1, 0, true, round(-0.1 * a / (b + 1), 9) FROM best UNION ALL SELECT replicate, 2, -1, 0, true, round(-0.1 * (g - a) / (h - b + 1), 9) FROM best"""
+UNION ALL SELECT replicate, 1, -1, 0, true, round(0 - 0.1 * a / (b + 1), 9) FROM best UNION ALL SELECT replicate, 2, -1, 0, true, round(0 - 0.1 * (g - a) / (h - b + 1), 9) FROM best"""
 _PERF = "p.LOAN_SEQUENCE_NUMBER, p.LOAN_AGE, p.MONTHLY_REPORTING_PERIOD, p.ESTIMATED_LOAN_TO_VALUE, p.CURRENT_INTEREST_RATE, p.ZERO_BALANCE_CODE, p.ZERO_BALANCE_EFFECTIVE_DATE, p.CURRENT_LOAN_DELINQUENCY_STATUS"
 _LEFT = "FROM p LEFT JOIN o ON p.LOAN_SEQUENCE_NUMBER = o.LOAN_SEQUENCE_NUMBER"
 _GOOD = "CAST(substr(LOAN_SEQUENCE_NUMBER, 2) AS BIGINT) % 50 <> 0"
