@@ -18,6 +18,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
 
 
+SEEN = 0.6  # the least cosine of a link, seen from the mean of all vectors, that the pivot index finds well
+
+
 # ---------------------------------------------------------------- exact top-k
 
 
@@ -89,14 +92,33 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _described(pivots: dict[int, np.ndarray], nearest: int, words: int):
+def _seen(unit: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """The directions of unit vectors as seen from a centre; 0 for one that lies there."""
+    x = unit - centre
+    return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-300)
+
+
+def _centres(candidates: Iterator[tuple[int, list]], cosine: float) -> dict[int, np.ndarray]:
+    """From where the index looks at the vectors of each length: the mean of the candidates' unit
+    vectors, since vectors in a cone look alike from 0. But 0 where the cosine of a link, seen
+    from the mean, would be below SEEN: the index couldn't tell links from other pairs there."""
+    total: dict[int, np.ndarray] = {}
+    n: dict[int, int] = {}
+    for dim, vector in candidates:
+        total[dim] = total.get(dim, 0) + _unit(pd.Series([np.array(vector)]))[0]
+        n[dim] = n.get(dim, 0) + 1
+    means = {dim: x / n[dim] for dim, x in total.items()}
+    return {dim: m if 1 - cosine <= (1 - SEEN) * (1 - m @ m) else np.zeros(dim) for dim, m in means.items()}
+
+
+def _described(pivots: dict[int, np.ndarray], centres: dict[int, np.ndarray], nearest: int, words: int):
     """Adds to each vector its nearest pivots in order, and the same as a bit set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
                 p = pivots[int(dim)]
-                order = np.argsort(-(_unit(part["v"]) @ p.T), axis=1, kind="stable")[:, :nearest].astype("int32")
+                order = np.argsort(-(_seen(_unit(part["v"]), centres[int(dim)]) @ p.T), axis=1, kind="stable")[:, :nearest].astype("int32")
                 bits = np.zeros((len(part), words), "int64").view("uint64")
                 for col in order.T:
                     bits[np.arange(len(part)), col // 64] |= np.uint64(1) << (col % 64).astype("uint64")
@@ -105,16 +127,17 @@ def _described(pivots: dict[int, np.ndarray], nearest: int, words: int):
     return run
 
 
-def _apart(candidates: Iterator[tuple[int, list]], count: int, cosine: float) -> dict[int, np.ndarray]:
+def _apart(candidates: Iterator[tuple[int, list]], centres: dict[int, np.ndarray], count: int, cosine: float) -> dict[int, np.ndarray]:
     """The pivots of each length: of the candidates (length, vector), in their order, at most
-    `count` whose cosine with every pivot before them is below `cosine`. Only pivots are held."""
+    `count` whose cosine with every pivot before them, seen from the centre, is below `cosine`.
+    Only pivots are held."""
     chosen: dict[int, np.ndarray] = {}
     held: dict[int, int] = {}
     for dim, vector in candidates:
         n, p = held.get(dim, 0), chosen.get(dim)
         if n == count:
             continue
-        x = _unit(pd.Series([np.array(vector)]))[0]
+        x = _seen(_unit(pd.Series([np.array(vector)])), centres[dim])[0]
         if n and (p[:n] @ x).max() >= cosine:
             continue
         if p is None or n == len(p):
@@ -174,13 +197,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     Equal vectors form one class, which the index holds once. Pivots are taken by hash (256
     to 4096, growing with the table, or `pivots`; four times as many candidates: a bounded
-    sample), but none within twice the angle of `cosine` of another. So a group around one
-    vector has one pivot however many of the rows it holds, and all vectors within the angle
-    of a pivot are nearest to it. Every class is described by its `nearest` pivots in order
+    sample), but none within twice the angle of `cosine` of another. So a dense group around
+    one vector has few pivots however many of the rows it holds. Angles of the index are seen
+    from the mean of these candidates (see _centres()), so vectors in a cone, which are all
+    near each other, have many pivots too. Every class is described by its `nearest` pivots in order
     and stands in their inverted lists; all pairs of a list are compared in double precision
     and linked if they have the same nearest pivot or share `shared` pivots at least (all,
-    where a length has fewer). Vectors all near each other share one list. A list is split into blocks of about `tile` classes and handled by pairs of
-    blocks, so no list has to fit in one task. A tile returns a spanning forest and link
+    where a length has fewer). In a cone so narrow that links hardly differ from other pairs
+    all vectors share one list. A list is split into blocks of about `tile` classes and handled
+    by pairs of blocks, so no list has to fit in one task. A tile returns a spanning forest and link
     counts, never all pairs; equal vectors are counted, not paired.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
@@ -195,12 +220,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = written(classes, "classes")
     count = pivots or min(4096, max(256, classes.count() // 256))
     first = Window.partitionBy("dim").orderBy(F.xxhash64("id", F.lit(7)), "id")
-    candidates = classes.withColumn("r", F.row_number().over(first)).where(F.col("r") <= 4 * count).orderBy("dim", "r").select("dim", "v")
-    table = _apart(((r["dim"], r["v"]) for r in candidates.toLocalIterator()), count, max(-1.0, 2 * cosine * abs(cosine) - 1))
+    candidates = classes.withColumn("r", F.row_number().over(first)).where(F.col("r") <= 4 * count).select("dim", "r", "v")
+    candidates = written(candidates, "candidates").orderBy("dim", "r")
+    drawn = lambda: ((r["dim"], r["v"]) for r in candidates.toLocalIterator())
+    centres = _centres(drawn(), cosine)
+    table = _apart(drawn(), centres, count, max(-1.0, 2 * cosine * abs(cosine) - 1))
     words = math.ceil(count / 64)
     kind = classes.schema["v"].dataType.simpleString()
     schema = f"v {kind}, id long, copies long, dim int, pivots array<int>, bits array<long>"
-    described = written(classes.mapInPandas(_described(table, nearest, words), schema), "described")
+    described = written(classes.mapInPandas(_described(table, centres, nearest, words), schema), "described")
     posts = described.select("*", F.col("pivots")[0].alias("home"), F.explode("pivots").alias("pivot")).drop("pivots")
     sizes = described.select("dim", F.explode("pivots").alias("pivot")).groupBy("dim", "pivot").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
     posts = posts.join(sizes, ["dim", "pivot"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tessera.llm.queries import op5_embedding_near_dedup, op9_exact_top_k
-from tessera.llm.vectors import near_vectors, top_k
+from tessera.llm.vectors import _apart, _centres, near_vectors, top_k
 
 ODD = [
     (900, None, 0), (901, [float("nan")] * 4, 0), (902, [1.0, None, 0.0, 0.0], 0), (903, [float("inf"), 0.0, 0.0, 0.0], 0), (904, [0.0] * 4, 0),
@@ -88,6 +88,26 @@ def test_links_of_a_hot_group_and_of_isolated_pairs(spark, pivots):
     assert {got[i].component_id for i in np.flatnonzero(big)} == {np.flatnonzero(big)[0]}
 
 
+@pytest.mark.parametrize("cone", [0.4, 0.72, 0.85])
+def test_links_of_vectors_in_a_cone(spark, cone):
+    """Vectors with a mean cosine of `cone`, some of them with one at 0.90 to 0.93."""
+    rng = np.random.default_rng(int(100 * cone))
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(unit(rng.normal(size=64)) + math.sqrt((1 - cone) / cone) * unit(rng.normal(size=(2000, 64))))
+    c, aside = rng.uniform(0.9, 0.93, size=(200, 1)), rng.normal(size=(200, 64))
+    x = np.concatenate([x, c * x[:200] + np.sqrt(1 - c * c) * unit(aside - (aside * x[:200]).sum(1, keepdims=True) * x[:200])]).astype("float32")
+    near = unit(x.astype("float64")) @ unit(x.astype("float64")).T >= 0.9
+    want = near.sum(1) - 1
+    got = {r.vec_id: r.n_links for r in near_vectors(table(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.95 * want.sum() >= 0.95 * 2 * 199
+    drawn = [(64, v) for v in x]
+    centres = _centres(iter(drawn), 0.9)
+    assert (np.abs(centres[64]).max() > 0) == (cone < 0.8)
+    if cone < 0.8:  # enough pivots for short lists
+        assert len(_apart(iter(drawn), centres, 256, 0.62)[64]) == 256
+
+
 def test_lengths_with_fewer_pivots_than_must_be_shared(spark):
     got = near_vectors(table(spark, [(1, [1.0, 0.1], 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0)])).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
