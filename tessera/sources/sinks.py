@@ -12,6 +12,7 @@ from ..functions.schemas import PREDICTION, TABLES
 from .shared import exists, moved, placed, removed, settings
 
 ROW_GROUP = 500_000
+OPEN_FILES = 32  # a task with more years sorts the rest of its rows
 
 
 def new_rows(df: DataFrame, held: DataFrame | None, keys: list[str] | None) -> DataFrame:
@@ -112,8 +113,9 @@ def write_table(df: DataFrame, path: str) -> None:
 def write_panel(df: DataFrame, path: str, by_year: bool = True, row_group: int = ROW_GROUP, groups_a_file: int = 8, task_bytes: int = 1 << 29) -> None:
     """The panel: snappy, row groups of row_group rows, by reporting year so that the time split
     prunes. Rows are rebalanced by year before: a year goes to as many tasks as its shuffled size
-    needs (task_bytes each), small years share one, and no task writes a file in every year. Only a
-    file's last row group has fewer rows."""
+    needs (task_bytes each), and no task writes a file in every year. A task
+    keeps a file open for each of its years (OPEN_FILES at most) and doesn't sort its rows by year,
+    so it holds row groups and not all of its rows. Only a file's last row group has fewer rows."""
     spark = df.sparkSession
     if by_year:
         df = df.withColumn("REPORTING_YEAR", F.substring("MONTHLY_REPORTING_PERIOD", 1, 4)).hint("rebalance", "REPORTING_YEAR")
@@ -121,7 +123,10 @@ def write_panel(df: DataFrame, path: str, by_year: bool = True, row_group: int =
         df = df.hint("rebalance")
     out = df.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", row_group * groups_a_file)
     out = out.option("parquet.block.row.count.limit", row_group).option("parquet.block.size", 1 << 30)
-    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes)}):
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes), "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
+    if by_year:  # else the joins behind df would be merged to tasks of task_bytes, too
+        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
+    with settings(spark, conf):
         (out.partitionBy("REPORTING_YEAR") if by_year else out).parquet(path)
 
 

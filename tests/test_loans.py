@@ -1,6 +1,7 @@
 """The traps of the loan files, sinks, sampling, metrics and models, on small tables."""
 
 import gzip
+import hashlib
 import math
 from dataclasses import replace
 
@@ -390,3 +391,36 @@ def test_files_of_every_kind_are_parsed_alike(spark, tmp_path):
         path.write_bytes(gzip.compress(text.encode()) if end.endswith("gz") else text.encode())
     got = vintages.parse(vintages.read_lines(spark, str(tmp_path), [2000, 2001], "perf"), "perf", ("vintage",)).select("vintage", "LOAN_AGE").collect()
     assert sorted(map(tuple, got)) == [(2000, 3.0), (2001, 3.0)]
+
+
+def test_draws_are_compiled_and_the_same(spark):
+    """Draws are rows of a compiled scan, not lambdas over arrays; members are those that plain hashing gives."""
+    ids = [f"L{i}" for i in range(300)] + [None]
+    df = spark.createDataFrame([(x,) for x in ids], f"{LOAN} string")
+    draw = lambda x, r: int(hashlib.md5("/".join([*([x] if x else []), str(r), "7"]).encode()).hexdigest()[:8], 16)
+    got = sampling.membership(df, 20, 0.3, seed=7, portable=True)
+    assert {tuple(r) for r in got.collect()} == {(x, r) for x in ids for r in range(20) if draw(x, r) < int((1 - math.exp(-0.3)) * 2**32)}
+    weighted = sampling.membership(df, 20, 0.9, seed=7, portable=True, weighted=True)
+    want = {(x, r): sum(draw(x, r) < int(t * 2**32) for t in sampling.poisson_tails(0.9)) for x in ids for r in range(20)}
+    assert {(r[0], r.replicate): r.weight for r in weighted.collect()} == {k: n for k, n in want.items() if n}
+    assert sampling.membership(df, 3, 50.0, portable=True).count() == 3 * len(ids)  # a limit of the whole range
+    for m in (got, weighted, sampling.membership(df, 20, 0.3)):
+        assert "lambda" not in m._jdf.queryExecution().executedPlan().toString()
+
+
+def last_plan(spark):
+    """The last SQL execution's plan as the status store has it."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    return runs.apply(runs.size() - 1).physicalPlanDescription()
+
+
+def test_the_panel_is_stored_without_sorting_a_task_s_rows(spark, tmp_path, monkeypatch):
+    df = spark.range(3000).select(F.concat(F.lit("L"), "id").alias(LOAN), F.concat((1990 + F.col("id") % 5).cast("string"), F.lit("01")).alias(panel.MONTH))
+    for open_files in (32, 2):  # with fewer files than years, the rest is sorted
+        monkeypatch.setattr(sinks, "OPEN_FILES", open_files)
+        sinks.write_panel(df, f"{tmp_path}/{open_files}", row_group=100)
+        groups = sinks.row_groups(spark, f"{tmp_path}/{open_files}").collect()
+        assert [r.n_rows for r in groups] == [100] * 30
+        assert "Sort" not in last_plan(spark)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
