@@ -47,10 +47,23 @@ def vintage_files(spark: SparkSession, base: str, years: Iterable[int], kind: st
     return found
 
 
-def _lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+SPREAD_BYTES = 4 << 20  # packed files of more bytes have their lines dealt to all tasks
+
+
+def _lines(spark: SparkSession, paths: Iterable[str], spread: bool = True) -> DataFrame:
+    """Lines (value, vintage). A packed file is read by one task; with `spread`, lines of large ones are
+    dealt to all tasks before they are parsed, which costs far more than to unpack them."""
     if not (paths := list(paths)):
         return spark.createDataFrame([], "value string, vintage int")
-    return spark.read.text(paths).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.txt(?:\.gz)?$", 1).try_cast("int").alias("vintage"))
+    lines = spark.read.text(paths).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.txt(?:\.gz)?$", 1).try_cast("int").alias("vintage"))
+    if spread and sum(_size(spark, p) for p in paths if p.endswith(".gz")) > SPREAD_BYTES:
+        lines = lines.withColumn("__n", F.monotonically_increasing_id()).repartition("__n").drop("__n")
+    return lines
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    files, place = placed(spark, path)
+    return files.getFileStatus(place).getLen()
 
 
 def read_lines(spark: SparkSession, base: str, years: Iterable[int], kind: str, on_missing: str = "warn") -> DataFrame:
@@ -65,7 +78,7 @@ def broken_files(spark: SparkSession, files: dict[int, str]) -> dict[int, str]:
     if not files:
         return {}
     try:
-        _lines(spark, files.values()).agg(F.sum(F.octet_length("value"))).collect()
+        _lines(spark, files.values(), spread=False).agg(F.sum(F.octet_length("value"))).collect()
     except (PySparkException, Py4JJavaError) as e:
         if len(files) == 1:
             text = str(e)
