@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import math
+import time
 from dataclasses import replace
 
 import numpy as np
@@ -424,3 +425,44 @@ def test_the_panel_is_stored_without_sorting_a_task_s_rows(spark, tmp_path, monk
         assert [r.n_rows for r in groups] == [100] * 30
         assert "Sort" not in last_plan(spark)
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_scores_by_tables_of_leaves_are_those_of_the_trees(spark):
+    """Trees of all shapes up to depth 3, missing values, infinite thresholds, values on thresholds."""
+    rng = np.random.default_rng(4)
+
+    def tree(depth):
+        found, todo = {}, [(0, 0)]
+        while todo:
+            node, d = todo.pop()
+            if d == depth or rng.random() < 0.25:
+                found[node] = (-1, 0.0, True, float(rng.normal()))
+            else:
+                found[node] = (int(rng.integers(0, 4)), float(rng.choice([-np.inf, -1, 0, 0.5, 1, np.inf])), bool(rng.integers(0, 2)), 0.0)
+                todo += [(2 * node + 1, d + 1), (2 * node + 2, d + 1)]
+        return found
+
+    x = rng.choice([-np.inf, -2, -1, 0, 0.25, 0.5, 1, 3, np.inf, np.nan], (2000, 4))
+    model = [[tree(3) for _ in range(n)] for n in (7, 1, 20)]
+    assert boosting.scorer(model)(x) == pytest.approx(boosting.predict(model, x), abs=1e-12)
+    flat = [[{0: (-1, 0.0, True, 0.3)}]]
+    assert boosting.scorer(flat)(x) == pytest.approx(boosting.predict(flat, x))
+    assert boosting.scorer([]) is None and boosting.scorer([[{**{n: (0, 0.0, True, 0.0) for n in range(15)}, **{n: (-1, 0.0, True, 1.0) for n in range(15, 31)}}]]) is None
+    many = [[tree(3) for _ in range(100)] for _ in range(20)]
+    fast, wide = boosting.scorer(many), rng.normal(size=(4000, 4))
+    began = time.perf_counter()
+    fast(wide)
+    middle = time.perf_counter()
+    boosting.predict(many, wide)
+    assert 1.5 * (middle - began) < time.perf_counter() - middle
+
+
+def test_lines_of_large_packed_files_are_parsed_by_all_tasks(spark, vintage_base, monkeypatch):
+    want = sorted(map(tuple, vintages.read_lines(spark, str(vintage_base), [2000], "orig").collect()))
+    monkeypatch.setattr(vintages, "SPREAD_BYTES", 1000)
+    got = vintages.read_lines(spark, str(vintage_base), [2000], "orig")
+    assert "Exchange" in got._jdf.queryExecution().executedPlan().toString() and sorted(map(tuple, got.collect())) == want
+    with pytest.warns(UserWarning):
+        report = pipelines.ingest_batches(spark, str(vintage_base), range(2000, 2006), "orig", f"{vintage_base}/tables", at_a_time=6)
+    assert {r.vintage: r.state for r in report.collect()} == {2000: "loaded", 2001: "broken", 2002: "broken", 2003: "loaded", 2004: "broken", 2005: "missing"}
+    assert sinks.base_table(spark, f"{vintage_base}/tables", "origination").count() == 3000
