@@ -109,7 +109,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     held = placed.where("size > 0").join(per_bucket.select("sid", "bucket", "base"), ["sid", "bucket"])
     held = held.select("sid", "base", "__row", "at", "size", F.explode(F.sequence(F.expr(f"at div {block}"), F.expr(f"(at + size - 1) div {block}"))).alias("b"))
     held = held.select("sid", (F.col("base") + F.col("b")).alias("block"), "__row", (F.greatest(first, F.col("b") * block) - first).alias("first"), (F.least(end, (F.col("b") + 1) * block) - first).alias("last"))
-    return placed.select("__row", "sid", "size"), sources, slot.join(held, ["sid", "block"])
+    # counts are few rows, slots aren't: Spark takes these to be as small and would broadcast them by way of the driver
+    return placed.select("__row", "sid", "size"), sources, slot.hint("merge").join(held, ["sid", "block"])
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:

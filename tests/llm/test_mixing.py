@@ -76,6 +76,15 @@ def test_multinomial_counts_and_shards(spark):
     assert len(per) > 5 and all(r["count"] <= 200 for r in per[:-1])
 
 
+def test_slots_are_not_broadcast(spark):
+    """A few counts become many slots, which may not go through the driver."""
+    _, _, pieces = mix(table(spark, ROWS))
+    assert pieces.collect()
+    final = pieces._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    keys = r"Join \[sid#\d+, block#\d+L\], \[sid#\d+, block#\d+L\]"
+    assert re.search("SortMerge" + keys, final) and not re.search("BroadcastHash" + keys, final)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 97])
 def test_permutation(spark, n):
     got = [r[0] for r in spark.range(n).select(permuted(F.col("id"), F.lit(n), F.lit(3))).collect()]
