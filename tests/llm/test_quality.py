@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -88,3 +89,27 @@ def test_model_counts_all_trusted_text(spark, monkeypatch):
     monkeypatch.setattr(quality, "train", lambda rows, **options: got.append(rows.count()) or train(rows, **options))
     assert classify(docs, docs.select("doc_id")).count() == n
     assert got == [n]
+
+
+def test_all_characters_and_languages_are_in_the_model(spark, monkeypatch):
+    """More characters than the workers' table has symbols, beyond the first plane too, and more languages than there are tables."""
+    rng = random.Random(2)
+    signs = [chr(0x4E00 + i) for i in range(300)] + [chr(0x1F600 + i) for i in range(20)]
+    han = ["".join(rng.choice(signs[: rng.choice([40, 320])]) for _ in range(60)) for _ in range(30)]
+    texts = {"zh": han[:20], "en": TEXTS, "fr": ["le chat et le chien", "la fin de la nuit"], "es": ["el gato y el perro", "la noche"]}
+    rows = [(lang, t) for lang, some in texts.items() for t in some]
+    trusted = spark.createDataFrame([*rows, (None, "mixed text")], "lang string, text string")
+    nats = {lang: brute(some) for lang, some in texts.items()} | {None: brute([t for _, t in rows] + ["mixed text"])}
+    model = train(trusted, max_languages=2)
+    assert max(map(len, model.codes.values())) <= quality.SIZE - 2 and len(model.rows) == 3 and sum(map(len, model.rare.values())) > 200
+    new = [("zh", t) for t in han[20:]] + [("fr", "le chat"), ("es", "el perro"), ("es", ""), ("es", None), ("it", "il gatto"), ("it", han[0]), (None, "mixed"), ("fr", "le chat"), ("zh", "\u2603\u2603 the end")]
+    df = spark.createDataFrame(rows + new, "lang string, text string")
+    for listed in (model.listed, None):  # None: too many languages for a list
+        model.listed = listed
+        got = quality.scored(df, spark.sparkContext.broadcast(model), "s").collect()
+        assert len(got) == len(rows + new)
+        for r in got:
+            assert r.s.n == len(r.text or "") and (not r.text or r.s.nats == pytest.approx(nats.get(r.lang, nats[None])(fold(r.text)), rel=1e-5)), r
+    docs = df.withColumn("doc_id", F.monotonically_increasing_id())
+    verdict = quality.classify(docs, docs.where("lang = 'zh'"), max_languages=1)
+    assert verdict.columns == [*docs.columns, "quality"] and verdict.count() == len(rows + new)
